@@ -92,11 +92,7 @@ def stockout_weeks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def sweeps(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = demand_inputs(inputs.sales(spark, sf_dir), derived.unit_costs(spark, sf_dir))
-    parts = [sensitivity(base, name) for name in SWEPT]
-    swept = parts[0]
-    for part in parts[1:]:
-        swept = swept.unionByName(part)
-    return shown(swept)
+    return shown(sensitivity(base, SWEPT))
 
 
 def _poly(coefficients: tuple[float, ...], x: str) -> str:

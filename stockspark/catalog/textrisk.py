@@ -85,7 +85,7 @@ def term_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _model(spark: SparkSession, sf_dir: str) -> NaiveBayes:
-    return NaiveBayes.fit(_worded(spark, sf_dir), "id", "words", "risk_category").settled()
+    return NaiveBayes.fit(_worded(spark, sf_dir), "id", "words", "risk_category")
 
 
 def bayes_scores(spark: SparkSession, sf_dir: str) -> DataFrame:

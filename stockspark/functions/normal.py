@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from stockspark.functions.binding import bind
+
 # Coefficients of algorithm AS 241 (Wichura 1988, PPND16), lowest power first.
 CENTRE_NUM = (
     3.3871328727963666080e0, 1.3314166789178437745e2, 1.9715909503065514427e3,
@@ -46,16 +48,20 @@ def _poly(coefficients: tuple[float, ...], x: Column) -> Column:
 
 def inverse_normal(p: Column) -> Column:
     """z with P(Z <= z) = p for 0 < p < 1, NULL elsewhere."""
-    q = p - F.lit(0.5)
-    r0 = F.lit(0.180625) - q * q
-    centre = q * _poly(CENTRE_NUM, r0) / _poly(CENTRE_DEN, r0)
-    edge = F.sqrt(-F.log(F.when(q < 0, p).otherwise(F.lit(1.0) - p)))
-    r1, r2 = edge - F.lit(1.6), edge - F.lit(5.0)
-    tail = F.when(edge <= 5.0, _poly(TAIL_NUM, r1) / _poly(TAIL_DEN, r1)).otherwise(
-        _poly(FAR_NUM, r2) / _poly(FAR_DEN, r2)
-    )
-    signed = F.when(q < 0, -tail).otherwise(tail)
-    return F.when((p > 0) & (p < 1), F.when(F.abs(q) <= 0.425, centre).otherwise(signed))
+
+    def ratio(x: Column, num: tuple[float, ...], den: tuple[float, ...]) -> Column:
+        return bind(x, lambda r: _poly(num, r) / _poly(den, r))
+
+    def tail(edge: Column) -> Column:
+        near = ratio(edge - F.lit(1.6), TAIL_NUM, TAIL_DEN)
+        return F.when(edge <= 5.0, near).otherwise(ratio(edge - F.lit(5.0), FAR_NUM, FAR_DEN))
+
+    def z(q: Column) -> Column:
+        centre = q * ratio(F.lit(0.180625) - q * q, CENTRE_NUM, CENTRE_DEN)
+        distance = F.sqrt(-F.log(F.lit(0.5) - F.abs(q)))
+        return F.when(F.abs(q) <= 0.425, centre).otherwise(F.sign(q) * bind(distance, tail))
+
+    return F.when((p > 0) & (p < 1), bind(p - F.lit(0.5), z))
 
 
 def service_z(service_level: Column) -> Column:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from stockspark.functions.binding import bind
 from stockspark.functions.calendar import WEEKS_PER_YEAR
 from stockspark.functions.normal import service_z
 
@@ -23,8 +24,11 @@ def safety_stock(
 ) -> Column:
     valid = (demand >= 0) & (demand_sd >= 0) & (lead_time >= 0) & (lead_time_sd >= 0)
     spread = F.sqrt(lead_time * demand_sd * demand_sd + demand * demand * lead_time_sd * lead_time_sd)
-    raw = service_z(service_level) * spread
-    return F.when(valid & raw.isNotNull(), _whole(F.greatest(raw, F.lit(0.0))))
+    # NULL where the service level has no z; below 50 % z is negative and the stock is 0.
+    return bind(
+        service_z(service_level) * spread,
+        lambda raw: F.when(valid & raw.isNotNull(), _whole(F.greatest(raw, F.lit(0.0)))),
+    )
 
 
 def reorder_point(demand: Column, lead_time: Column, stock: Column) -> Column:
@@ -40,21 +44,19 @@ def unit_holding_cost(item_cost: Column, rate_percent: Column) -> Column:
     return item_cost * (rate_percent / F.lit(100.0))
 
 
-def stock_policy(params: dict[str, Column]) -> dict[str, Column]:
-    """EOQ, safety stock and reorder point from the eight named inputs."""
+def order_and_stock(params: dict[str, Column]) -> dict[str, Column]:
+    """EOQ and safety stock from the eight named inputs."""
     yearly = annual_demand(params["avg_weekly_demand"])
     holding = unit_holding_cost(params["item_cost_per_unit"], params["annual_holding_rate_percent"])
     order_cost = params["ordering_cost_per_order"]
     usable = (yearly > 0) & (order_cost >= 0) & (holding > 0)
-    stock = safety_stock(
-        params["avg_weekly_demand"],
-        params["std_dev_weekly_demand"],
-        params["avg_lead_time_weeks"],
-        params["std_dev_lead_time_weeks"],
-        params["target_service_level_percent"],
-    )
     return {
         "EOQ": F.when(usable, economic_order_quantity(yearly, order_cost, holding)),
-        "Safety_Stock": stock,
-        "ROP": reorder_point(params["avg_weekly_demand"], params["avg_lead_time_weeks"], stock),
+        "Safety_Stock": safety_stock(
+            params["avg_weekly_demand"],
+            params["std_dev_weekly_demand"],
+            params["avg_lead_time_weeks"],
+            params["std_dev_lead_time_weeks"],
+            params["target_service_level_percent"],
+        ),
     }

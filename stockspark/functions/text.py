@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from stockspark.functions.binding import bind
+
 # English stopwords (the common public list, apostrophes removed where the
 # clean-up removes them as well).
 STOPWORDS = """
@@ -67,11 +67,6 @@ def words(text: Column) -> Column:
     return F.filter(F.split(bare, f"[{SPACE_CLASS}]+"), lambda word: word != "")
 
 
-def _bind(value: Column, body: Callable[[Column], Column]) -> Column:
-    """Evaluate ``value`` once per row and use it many times inside ``body``."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
 def content_words(text: Column) -> Column:
     """Words that are purely alphabetic and not stopwords."""
     return F.filter(words(text), lambda word: word.rlike(r"^\p{L}+$") & ~word.isin(*STOPWORDS))
@@ -126,8 +121,8 @@ def sentiment_score(text: Column, lexicon: dict[str, float] | None = None) -> Co
             hits, F.lit(0.0), lambda acc, item: acc + _word_score(tokens, item["i"], item["word"], table)
         )
 
-    return _bind(
-        _bind(words(text), total),
+    return bind(
+        bind(words(text), total),
         lambda s: F.round(s / F.sqrt(s * s + F.lit(NORMALISER)), 4) + F.lit(0.0),
     )
 

@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stockspark.checks import require_choice, require_columns
-from stockspark.functions.stock import annual_demand, stock_policy, unit_holding_cost
+from stockspark.functions.binding import bind
+from stockspark.functions.stock import annual_demand, order_and_stock, reorder_point, unit_holding_cost
 from stockspark.operators.series import KEYS
 
 # Inputs used where a series has none of its own.
@@ -52,7 +53,9 @@ def demand_statistics(logged: DataFrame, by: Sequence[str] = (*KEYS, "Model")) -
 def policy_parameters(df: DataFrame) -> DataFrame:
     """EOQ, Safety_Stock and ROP for every row of inputs."""
     require_columns(df, DEFAULTS)
-    return df.withColumns(stock_policy({name: F.col(name) for name in DEFAULTS}))
+    staged = df.withColumns(order_and_stock({name: F.col(name) for name in DEFAULTS}))
+    point = reorder_point(F.col("avg_weekly_demand"), F.col("avg_lead_time_weeks"), F.col("Safety_Stock"))
+    return staged.withColumn("ROP", point)
 
 
 def annual_costs(df: DataFrame) -> DataFrame:
@@ -114,7 +117,7 @@ def replay(demand: DataFrame, policy: DataFrame, weeks: int | None = DEFAULT_WEE
 
     def week(state: Column, item: Column) -> Column:
         arriving = F.when(state["due"] == item["t"], quantity).otherwise(F.lit(0.0))
-        return _let(
+        return bind(
             F.struct(
                 state["stock"].alias("start"),
                 arriving.alias("arriving"),
@@ -123,7 +126,7 @@ def replay(demand: DataFrame, policy: DataFrame, weeks: int | None = DEFAULT_WEE
                 # An order that has arrived is no longer open.
                 F.when(state["due"] == item["t"], F.lit(-1)).otherwise(state["due"]).alias("due"),
             ),
-            lambda a: _let(
+            lambda a: bind(
                 F.struct(
                     a.alias("a"),
                     F.least(a["available"], a["demand"]).alias("sold"),
@@ -164,10 +167,6 @@ def replay(demand: DataFrame, policy: DataFrame, weeks: int | None = DEFAULT_WEE
     return joined.select(*keys, F.inline(folded))
 
 
-def _let(value: Column, body) -> Column:
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
 def replay_kpis(trace: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
     demand, sold = F.sum("Demand"), F.sum("Units_Sold")
     return trace.groupBy(*keys).agg(
@@ -202,7 +201,7 @@ def sweep_range(parameter: str, base: Column) -> tuple[Column, Column]:
 
 def sensitivity(
     df: DataFrame,
-    parameter: str,
+    parameters: str | Sequence[str],
     low: float | None = None,
     high: float | None = None,
     steps: int = DEFAULT_STEPS,
@@ -210,27 +209,25 @@ def sensitivity(
 ) -> DataFrame:
     """EOQ, safety stock and reorder point as one input moves from ``low`` to ``high``.
 
-    Each row of inputs is stretched to ``steps`` rows in place; nothing is joined or shuffled.
+    With several parameters, each is moved in turn while the others stay. Each row of inputs is
+    stretched in place; nothing is joined or shuffled.
     """
+    parameters = [parameters] if isinstance(parameters, str) else list(parameters)
     if not SWEEP_STEPS[0] <= steps <= SWEEP_STEPS[1]:
         raise ValueError(f"steps must be between {SWEEP_STEPS[0]} and {SWEEP_STEPS[1]}")
     if low is not None and high is not None and low >= high:
         raise ValueError("low must be below high")
     require_columns(df, [*keys, *DEFAULTS])
-    default_low, default_high = sweep_range(parameter, F.col(parameter))
-    first = default_low if low is None else F.lit(float(low))
-    last = default_high if high is None else F.lit(float(high))
-    width = (last - first) / F.lit(float(steps - 1))
-    moved = df.select(
-        *keys,
-        *[F.col(name) for name in DEFAULTS],
-        F.explode(F.sequence(F.lit(0), F.lit(steps - 1))).alias("step"),
-        first.alias("_first"),
-        width.alias("_width"),
-    )
-    value = F.col("_first") + F.col("step") * F.col("_width")
-    inputs = {name: F.col(name) for name in DEFAULTS} | {parameter: F.col("value")}
-    return (
-        moved.withColumn("value", value)
-        .select(*keys, F.lit(parameter).alias("parameter"), "step", "value", *[c.alias(n) for n, c in stock_policy(inputs).items()])
-    )
+    plans = []
+    for name in parameters:
+        first, last = sweep_range(name, F.col(name))
+        first = first if low is None else F.lit(float(low))
+        last = last if high is None else F.lit(float(high))
+        width = (last - first) / F.lit(float(steps - 1))
+        plans.append(F.struct(F.lit(name).alias("parameter"), first.alias("_first"), width.alias("_width")))
+    moved = df.select(*keys, *DEFAULTS, F.inline(F.array(*plans)))
+    moved = moved.withColumn("step", F.explode(F.sequence(F.lit(0), F.lit(steps - 1))))
+    moved = moved.withColumn("value", F.col("_first") + F.col("step") * F.col("_width"))
+    varied = {n: F.when(F.col("parameter") == n, F.col("value")).otherwise(F.col(n)) for n in parameters}
+    swept = policy_parameters(moved.withColumns(varied))
+    return swept.select(*keys, "parameter", "step", "value", "EOQ", "Safety_Stock", "ROP")

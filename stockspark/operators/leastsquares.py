@@ -29,7 +29,7 @@ def _solver(size: int, ridge: float):
         scale[scale == 0.0] = 1.0
         matrix = matrix / scale[:, :, None] / scale[:, None, :]
         penalty = np.full(size, ridge)
-        penalty[0] = 1e-12
+        penalty[0] = 0.0
         matrix = matrix + np.diag(penalty)
         solved = np.linalg.solve(matrix, (vector / scale)[:, :, None])[:, :, 0] / scale
         return pd.Series(list(solved))

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stockspark.session import materialise
@@ -66,8 +66,9 @@ def weigh(counts: DataFrame, vocab: DataFrame, key: str) -> DataFrame:
     """Sublinear term weights of unit length per document: ``key``, ``term``, ``weight``."""
     raw = (F.lit(1.0) + F.log(F.col("tf").cast("double"))) * F.col("idf")
     rows = salted_join(counts, vocab.select("term", "idf"), "term", key).select(key, "term", raw.alias("raw"))
-    length = rows.groupBy(key).agg(F.sqrt(F.sum(F.col("raw") * F.col("raw"))).alias("_length"))
-    return rows.join(length, key).select(key, "term", (F.col("raw") / F.col("_length")).alias("weight"))
+    # One document's terms: bounded by the length of the document.
+    length = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy(key)))
+    return rows.select(key, "term", (F.col("raw") / length).alias("weight"))
 
 
 def tf_idf(docs: DataFrame, key: str, words: str, **options) -> DataFrame:
@@ -76,7 +77,7 @@ def tf_idf(docs: DataFrame, key: str, words: str, **options) -> DataFrame:
 
 
 class NaiveBayes:
-    """Multinomial naive Bayes on term weights, with the model held in three tables.
+    """Multinomial naive Bayes on term weights, with the model held in three written tables.
 
     ``terms``: term, label, gain (log of smoothed over bare smoothing). ``classes``: label,
     prior, floor (log weight of a term the class never shows). ``vocab``: term, idf.
@@ -89,11 +90,12 @@ class NaiveBayes:
     def fit(
         cls, docs: DataFrame, key: str, words: str, label: str, alpha: float = ALPHA, **options
     ) -> NaiveBayes:
-        counts = term_counts(docs, key, words)
-        vocab = vocabulary(counts, docs, **options).select("term", "idf")
-        weights = weigh(counts, vocab, key)
-        labelled = weights.join(docs.select(key, F.col(label).alias("label")), key)
+        # Counts, vocabulary and class weights are each read more than once: written once.
+        counts = materialise(term_counts(docs, key, words), "term_counts")
+        vocab = materialise(vocabulary(counts, docs, **options).select("term", "idf"), "vocabulary")
+        labelled = weigh(counts, vocab, key).join(docs.select(key, F.col(label).alias("label")), key)
         mass = labelled.groupBy("term", "label").agg(F.sum("weight").alias("mass"))
+        mass = materialise(mass, "term_mass")
         terms = mass.select("term", "label", F.log((F.col("mass") + alpha) / F.lit(alpha)).alias("gain"))
 
         distinct_terms = vocab.agg(F.count(F.lit(1))).scalar()
@@ -106,12 +108,7 @@ class NaiveBayes:
             F.log(F.col("n") / documents).alias("prior"),
             (F.log(F.lit(alpha)) - F.log(bottom)).alias("floor"),
         )
-        return cls(terms, classes, vocab)
-
-    def settled(self) -> NaiveBayes:
-        """The model written once, so that scoring does not train again."""
-        tables = (self.terms, self.classes, self.vocab)
-        return NaiveBayes(*[materialise(t, name) for t, name in zip(tables, ROLES)])
+        return cls(terms, materialise(classes, "classes"), vocab)
 
     def save(self, path: str) -> None:
         for table, name in zip((self.terms, self.classes, self.vocab), ROLES):

@@ -57,7 +57,7 @@ def train_classifier(news: DataFrame, stamp: str, save_to: str | None = None) ->
     check = enough_for_training(rows, "risk_category").first()
     if not check["enough"]:
         raise ValueError(f"{check['rows']} rows and {check['classes']} classes are too few to train")
-    model = NaiveBayes.fit(rows.where(~F.col("is_test")), "id", "words", "risk_category").settled()
+    model = NaiveBayes.fit(rows.where(~F.col("is_test")), "id", "words", "risk_category")
     params = {
         "tfidf_max_df": MAX_SHARE,
         "tfidf_min_df": MIN_DOCS,
