@@ -23,6 +23,7 @@ from stockspark.operators.series import (
     tiled_history,
     with_minimum_history,
 )
+from stockspark.plans import derived
 
 ACF_LAGS = 60
 
@@ -82,6 +83,12 @@ def overall_decomposition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shown(decompose(weeks, keys=["all"]).drop("all"), 2)
 
 
+def daily_decomposition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily event values by type, with a season of seven days."""
+    days = derived.daily_events(spark, sf_dir)
+    return shown(decompose(days, "value", ["event_type"], period=7))
+
+
 def acf(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = autocorrelation(inputs.weekly(spark, sf_dir), ACF_LAGS)
     return shown(found.select("Store", "Dept", F.posexplode("acf").alias("lag", "acf")), 6)
@@ -213,6 +220,21 @@ ENTRIES = {
             },
         ),
     ),
+    "decomposition_daily": (
+        daily_decomposition,
+        query(
+            f"""SELECT event_type, CAST(Date AS VARCHAR) AS Date, {rounded('observed')} AS observed, {rounded('trend')} AS trend,
+            {rounded('seasonal')} AS seasonal, {rounded('observed - trend - seasonal')} AS resid
+            FROM (SELECT *, pm - avg(CASE WHEN rn <= 7 THEN pm END) OVER (PARTITION BY event_type) AS seasonal
+            FROM (SELECT *, avg(observed - trend) OVER (PARTITION BY event_type, (rn - 1) % 7) AS pm
+            FROM (SELECT *, CASE WHEN rn > 3 AND rn <= n - 3 THEN a END AS trend
+            FROM (SELECT event_type, Date, value AS observed, row_number() OVER (PARTITION BY event_type ORDER BY Date) AS rn,
+                count(*) OVER (PARTITION BY event_type) AS n,
+                avg(value) OVER (PARTITION BY event_type ORDER BY Date ROWS BETWEEN 3 PRECEDING AND 3 FOLLOWING) AS a
+                FROM events_daily) WHERE n >= 14)))""",
+            "events_daily",
+        ),
+    ),
     "autocorrelation": (acf, _acf_query("weekly", ACF_LAGS)),
     "autocorrelation_short": (short_acf, _acf_query("sales", 40, "WHERE n > 30 AND lag <= least(40, n // 2 - 1)")),
     "partial_autocorrelation": (pacf, None),

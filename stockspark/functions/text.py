@@ -64,7 +64,9 @@ WORD_CLASS = r"\p{L}\p{N}_"
 def words(text: Column) -> Column:
     """Lower-cased words; every character that is neither word character nor space is dropped."""
     bare = F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), f"[^{WORD_CLASS}{SPACE_CLASS}]", "")
-    return F.filter(F.split(bare, f"[{SPACE_CLASS}]+"), lambda word: word != "")
+    # One plain space between words lets the split work without a pattern.
+    spaced = F.trim(F.regexp_replace(bare, f"[{SPACE_CLASS}]+", " "))
+    return F.filter(F.split(spaced, " "), lambda word: word != "")
 
 
 def content_words(text: Column) -> Column:
@@ -115,10 +117,10 @@ def sentiment_score(text: Column, lexicon: dict[str, float] | None = None) -> Co
     table = LEXICON if lexicon is None else lexicon
 
     def total(tokens: Column) -> Column:
-        placed = F.transform(tokens, lambda word, i: F.struct(word.alias("word"), i.alias("i")))
-        hits = F.filter(placed, lambda item: item["word"].isin(*table))
+        marked = F.transform(tokens, lambda word, i: F.when(word.isin(*table), i))
+        hits = F.filter(marked, lambda i: i.isNotNull())
         return F.aggregate(
-            hits, F.lit(0.0), lambda acc, item: acc + _word_score(tokens, item["i"], item["word"], table)
+            hits, F.lit(0.0), lambda acc, i: acc + _word_score(tokens, i, F.get(tokens, i), table)
         )
 
     return bind(

@@ -32,7 +32,10 @@ def analyse_news(news: DataFrame) -> DataFrame:
     if "date_published" in news.columns:
         steps["date_published"] = date_or_null(F.col("date_published"))
     steps["manual_risk_score"] = score_or_zero(F.col("risk_score")) if "risk_score" in news.columns else F.lit(0)
-    scored = news.withColumns(steps).withColumn("sentiment_score", sentiment_score(F.col("text")))
+    # The score comes out of a generator, so filters on it are not pushed down as copies of the
+    # whole expression: each text is scored once.
+    once = F.explode(F.array(sentiment_score(F.col("text")))).alias("sentiment_score")
+    scored = news.withColumns(steps).select("*", once)
     return scored.withColumn("predicted_sentiment", sentiment_label(F.col("sentiment_score")))
 
 

@@ -129,14 +129,15 @@ def describe_dates(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def skewness(value: Column) -> Column:
     """Bias-corrected sample skewness (adjusted Fisher-Pearson)."""
     n = F.count(value).cast("double")
-    return F.when(n > 2, F.skewness(value) * F.sqrt(n * (n - 1)) / (n - 2))
+    # A constant column has no spread: its skewness and kurtosis count as 0.
+    return F.when(n > 2, F.coalesce(F.skewness(value), F.lit(0.0)) * F.sqrt(n * (n - 1)) / (n - 2))
 
 
 def excess_kurtosis(value: Column) -> Column:
     """Bias-corrected sample excess kurtosis."""
     n = F.count(value).cast("double")
     corrected = (n - 1) / ((n - 2) * (n - 3)) * ((n + 1) * F.kurtosis(value) + 6)
-    return F.when(n > 3, corrected)
+    return F.when(n > 3, F.coalesce(corrected, F.lit(0.0)))
 
 
 def shifted_log(df: DataFrame, column: str) -> Column:
@@ -191,7 +192,7 @@ def negative_audit(df: DataFrame, column: str) -> DataFrame:
     return df.agg(
         F.count(F.lit(1)).alias("rows"),
         negatives.alias("negatives"),
-        (F.lit(100.0) * negatives / F.count(F.lit(1))).alias("percent"),
+        F.try_divide(F.lit(100.0) * negatives, F.count(F.lit(1))).alias("percent"),
     )
 
 
@@ -199,11 +200,15 @@ def correlations(df: DataFrame, features: Sequence[str], target: str) -> DataFra
     """Pearson correlation with the target and the least-squares line, per feature, in one pass."""
     rows = []
     for name in features:
-        x, y = F.col(name).cast("double"), F.col(target).cast("double")
+        both = F.col(name).isNotNull() & F.col(target).isNotNull()
+        x = F.when(both, F.col(name).cast("double"))
+        y = F.when(both, F.col(target).cast("double"))
+        # NULL for a column without spread.
+        pearson = F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
         rows.append(
             F.struct(
                 F.lit(name).alias("feature"),
-                F.corr(x, y).alias("pearson"),
+                pearson.alias("pearson"),
                 F.regr_slope(y, x).alias("slope"),
                 F.regr_intercept(y, x).alias("intercept"),
             )

@@ -13,7 +13,17 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BUCKETS = 256
+BUCKETS = 256  # a power of two
+
+
+def _cuts_below(cuts: Column, value: Column, buckets: int) -> Column:
+    """How many of the ``buckets - 1`` ascending cut points lie below ``value``: a binary search."""
+    steps = F.array(*[F.lit(buckets >> k) for k in range(1, buckets.bit_length())])
+    return F.aggregate(
+        steps,
+        F.lit(0),
+        lambda found, step: F.when(F.get(cuts, found + step - F.lit(1)) < value, found + step).otherwise(found),
+    )
 
 
 def values_at_ranks(
@@ -31,6 +41,8 @@ def values_at_ranks(
     times. Equal rows collapse to one counted row
     before the first shuffle, so a value that repeats without limit costs one row per task.
     """
+    if buckets < 2 or buckets & (buckets - 1):
+        raise ValueError("buckets must be a power of two")
     by = list(by)
     keyed = df.where(F.col(value).isNotNull())
     if not by:
@@ -56,7 +68,7 @@ def values_at_ranks(
         *by_cols,
         "_v",
         "_n",
-        F.size(F.filter("_group.cuts", lambda c: c < F.col("_v"))).alias("_b"),
+        _cuts_below(F.col("_group.cuts"), F.col("_v"), buckets).alias("_b"),
         F.col("_group.total").alias("total"),
     )
 

@@ -248,7 +248,7 @@ def decompose(
     additive = model == "additive"
 
     def apart(a: Column, b: Column) -> Column:
-        return a - b if additive else a / b
+        return a - b if additive else F.try_divide(a, b)
 
     base = base.withColumn("trend", F.when(full, smooth))
     base = base.withColumn("_phase", (F.col("_rn") - 1) % F.lit(period))
@@ -260,7 +260,7 @@ def decompose(
     rest = (
         F.col("observed") - F.col("trend") - F.col("seasonal")
         if additive
-        else F.col("observed") / (F.col("trend") * F.col("seasonal"))
+        else F.try_divide(F.col("observed"), F.col("trend") * F.col("seasonal"))
     )
     return base.select(*keys, date, "observed", "trend", "seasonal", rest.alias("resid"))
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from stockspark.functions.calendar import friday_on_or_after, is_holiday_week
 from stockspark.operators.cleaning import MARKDOWNS, label_codes
+from stockspark.session import spread
 
 # Order priorities behind MarkDown1 to MarkDown5.
 PRIORITIES = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
@@ -104,7 +105,8 @@ def features(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def news(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as news items, with a manual category where a label exists."""
-    documents = table(spark, sf_dir, "documents")
+    # Everything done to news is heavy per row.
+    documents = spread(table(spark, sf_dir, "documents"))
     labels = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("_id"), "quality", "toxic")
     joined = documents.join(labels, documents["doc_id"] == labels["_id"], "left")
     category = F.lit(None).cast("string")

@@ -63,3 +63,15 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Spread rows over all cores where the input has fewer splits than there are cores.
+
+    For row-by-row work that is heavy next to reading. Large inputs have splits enough and pass
+    through unchanged, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    split = int(df.sparkSession.conf.get("spark.sql.files.maxPartitionBytes").rstrip("bB"))
+    return df.repartition(cores) if size < cores * split else df
