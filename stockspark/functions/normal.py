@@ -56,12 +56,14 @@ def inverse_normal(p: Column) -> Column:
         near = ratio(edge - F.lit(1.6), TAIL_NUM, TAIL_DEN)
         return F.when(edge <= 5.0, near).otherwise(ratio(edge - F.lit(5.0), FAR_NUM, FAR_DEN))
 
-    def z(q: Column) -> Column:
+    def z(p: Column) -> Column:
+        q = p - F.lit(0.5)
         centre = q * ratio(F.lit(0.180625) - q * q, CENTRE_NUM, CENTRE_DEN)
-        distance = F.sqrt(-F.log(F.lit(0.5) - F.abs(q)))
-        return F.when(F.abs(q) <= 0.425, centre).otherwise(F.sign(q) * bind(distance, tail))
+        distance = F.sqrt(-F.log(F.least(p, F.lit(1.0) - p)))
+        outer = F.sign(q) * bind(distance, tail)
+        return F.when((p > 0) & (p < 1), F.when(F.abs(q) <= 0.425, centre).otherwise(outer))
 
-    return F.when((p > 0) & (p < 1), bind(p - F.lit(0.5), z))
+    return bind(p, z)
 
 
 def service_z(service_level: Column) -> Column:

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from stockspark.operators.leastsquares import fitted, grouped_ridge
 from stockspark.operators.series import DATE, KEYS, PERIOD, TARGET, future_dates
+from stockspark.session import by_series
 
 # The smoothing configurations tried (trend, seasonal, damped).
 SMOOTHING_CONFIGS = (
@@ -178,6 +179,7 @@ def smoothing(
 
     train = F.count_if(~F.col("is_test")).over(Window.partitionBy(*keys))
     rows = split.select(*keys, date, F.col(target).cast("double").alias(target), "is_test")
+    rows = by_series(rows, keys)
     rows = rows.withColumn("_train", train).where(F.col("_train") >= least).drop("_train")
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
     return rows.groupBy(*keys).applyInPandas(fit, f"{schema}, yhat double, config string")
@@ -208,7 +210,7 @@ def ar_regression(
     train_rows = F.count_if(~F.col("is_test")).over(Window.partitionBy(*keys))
     recent = split.withColumn("_t", train_rows).where(F.col("row") > F.col("_t") - period)
     outside = F.array(*[F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in exogenous]).cast("array<double>")
-    packed = recent.groupBy(*keys).agg(
+    packed = by_series(recent, keys).groupBy(*keys).agg(
         F.sort_array(
             F.collect_list(F.when(~F.col("is_test"), F.struct(F.col(date).alias("d"), F.col(target).cast("double").alias("y"))))
         ).alias("_past"),

@@ -11,6 +11,7 @@ from stockspark.checks import require_choice, require_columns
 from stockspark.functions.binding import bind
 from stockspark.functions.stock import annual_demand, order_and_stock, reorder_point, unit_holding_cost
 from stockspark.operators.series import KEYS
+from stockspark.session import by_series
 
 # Inputs used where a series has none of its own.
 DEFAULTS = {
@@ -100,7 +101,7 @@ def replay(demand: DataFrame, policy: DataFrame, weeks: int | None = DEFAULT_WEE
     require_columns(demand, [*keys, "period", "demand"])
     require_columns(policy, [*keys, "EOQ", "ROP", "lead_time"])
     used = demand if weeks is None else demand.where(F.col("period") <= weeks)
-    packed = used.groupBy(*keys).agg(
+    packed = by_series(used, keys).groupBy(*keys).agg(
         F.sort_array(F.collect_list(F.struct(F.col("period").cast("int").alias("t"), F.col("demand").cast("double").alias("d")))).alias("_weeks")
     )
     opening = F.coalesce(F.col("opening_stock").cast("double"), F.col("ROP")) if "opening_stock" in policy.columns else F.col("ROP")

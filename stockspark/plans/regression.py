@@ -16,7 +16,7 @@ from stockspark.operators.cleaning import align_features, drop_incomplete, encod
 from stockspark.operators.series import DATE, TARGET
 from stockspark.operators.splits import split_by_date
 from stockspark.operators.trees import fit_trees, predict
-from stockspark.session import materialise
+from stockspark.session import materialise, spread
 from stockspark.sources.tables import save_model
 
 TYPE, TYPE_CODE = "Type", "Type_Encoded"
@@ -72,7 +72,7 @@ def compare_trees(
     """
     split = split_by_date(featured, weeks)
     prep = RegressionPrep.fit(split.where(~F.col("is_test")), target)
-    prepared = materialise(prep.transform(split), "prepared")
+    prepared = materialise(spread(prep.transform(split)), "prepared")
     spans = prepared.agg(
         period_label(DATE, ~F.col("is_test")).alias("Train_Period"),
         period_label(DATE, F.col("is_test")).alias("Test_Period"),

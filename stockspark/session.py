@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -75,3 +76,14 @@ def spread(df: DataFrame) -> DataFrame:
     size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     split = int(df.sparkSession.conf.get("spark.sql.files.maxPartitionBytes").rstrip("bB"))
     return df.repartition(cores) if size < cores * split else df
+
+
+def by_series(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Partition by series for work that is heavy per row.
+
+    Adaptive execution merges small partitions by their bytes, which would leave costly folds to
+    a few tasks. An explicit number of partitions stays as it is, and later groupings and
+    windows on ``keys`` reuse it.
+    """
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(partitions, *keys)
