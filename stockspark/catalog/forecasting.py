@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from stockspark.catalog import inputs
 from stockspark.catalog.inputs import shown
 from stockspark.catalog.sql import pick, query, rounded
+from stockspark.functions.calendar import is_holiday_week
 from stockspark.operators.accuracy import align_forecast, align_known, periods, score
 from stockspark.operators.forecasts import (
     ahead_naive,
@@ -22,7 +23,7 @@ from stockspark.operators.splits import split_by_date, split_last_n, split_ratio
 from stockspark.operators.trees import KINDS
 from stockspark.plans import derived
 from stockspark.plans.regression import compare_trees
-from stockspark.plans.series import compare_series
+from stockspark.plans.series import compare_series, forecast_ahead
 
 FORECAST = ("Store", "Dept", "Date", "Weekly_Sales", "yhat")
 SPLIT = ("Store", "Dept", "Date", "Weekly_Sales", "is_test")
@@ -96,6 +97,17 @@ def future_seasonal(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shown(ahead_seasonal_naive(inputs.weekly(spark, sf_dir), 104))
 
 
+def future_models(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The next 12 weeks of every series from all five model kinds."""
+    return shown(forecast_ahead(inputs.weekly(spark, sf_dir), holiday=is_holiday_week), 2)
+
+
+def future_plain_models(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same path with the two models that repeat known values."""
+    plain = {name: inputs.PLAIN_MODELS[name] for name in ("NaiveForecast", "SeasonalNaiveForecast")}
+    return shown(forecast_ahead(inputs.weekly(spark, sf_dir), 26, plain))
+
+
 def pooled_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The three pooled tree models, small settings of the same kinds, scored on the last year."""
     configs = {
@@ -194,5 +206,16 @@ ENTRIES = {
             "placed",
         ),
     ),
+    "future_models": (future_models, None),
+    "future_plain_models": (
+        future_plain_models,
+        query(
+            f"""SELECT t.Store, t.Dept, 'NaiveForecast' AS Model, CAST(t.Date + CAST(7 * k AS INTEGER) AS VARCHAR) AS Date, {rounded('t.Weekly_Sales')} AS yhat
+            FROM placed t, range(1, 27) r(k) WHERE t.rn = t.n
+            UNION ALL SELECT t.Store, t.Dept, 'SeasonalNaiveForecast', CAST(t.Date + CAST(7 * k AS INTEGER) AS VARCHAR), {rounded('p.Weekly_Sales')}
+            FROM placed t, range(1, 27) r(k), placed p WHERE t.rn = t.n AND p.Store = t.Store AND p.Dept = t.Dept AND p.rn = t.n - 52 + k""",
+            "placed",
+        ),
+    ),
     "pooled_trees": (pooled_trees, None),
 }

@@ -35,8 +35,9 @@ from stockspark.operators.alerts import (
 )
 from stockspark.operators.terms import NaiveBayes, class_report, confusion, report_summary, tf_idf
 from stockspark.plans import derived
-from stockspark.plans.risk import enrich, risk_alerts, train_classifier, training_rows
+from stockspark.plans.risk import ARTIFACT_PREFIX, enrich, risk_alerts, train_classifier, training_rows
 from stockspark.session import scratch_path
+from stockspark.sources.tables import latest_artifact
 
 
 def _worded(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -96,6 +97,16 @@ def bayes_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _model(spark, sf_dir).predict(_worded(spark, sf_dir), "id", "words")
 
 
+def stored_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A model saved under two names; the one whose name sorts last is loaded and used."""
+    folder = scratch_path(spark, "classifiers")
+    model = _model(spark, sf_dir)
+    for stamp in ("20250101", "20250102"):
+        model.save(f"{folder}/{ARTIFACT_PREFIX}{stamp}")
+    loaded = NaiveBayes.load(spark, latest_artifact(spark, folder, ARTIFACT_PREFIX))
+    return loaded.predict(_worded(spark, sf_dir), "id", "words")
+
+
 def classifier_training(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole training job: split, fit, save, score, log record."""
     folder = scratch_path(spark, "models")
@@ -279,6 +290,10 @@ ENTRIES = {
         bayes_predictions,
         query("SELECT id, arg_min(label, (-score, label)) AS predicted FROM final GROUP BY id", "news", extra=_bayes),
     ),
+    "stored_classifier": (
+        stored_classifier,
+        query("SELECT id, arg_min(label, (-score, label)) AS predicted FROM final GROUP BY id", "news", extra=_bayes),
+    ),
     "classifier_training": (classifier_training, None),
     "training_split": (training_split, None),
     "confusion": (

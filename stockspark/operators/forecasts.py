@@ -106,7 +106,7 @@ def smoothing(
     target: str = TARGET,
     date: str = DATE,
 ) -> DataFrame:
-    """Exponential smoothing: the best of ``configs`` by test RMSE.
+    """Exponential smoothing: the best of ``configs`` by test RMSE (train RMSE for future weeks).
 
     Smoothing weights come from a grid scored on the train rows, not from a likelihood
     optimiser. Multiplicative parts are skipped where a train value is not positive. Series with
@@ -167,7 +167,10 @@ def smoothing(
                              level[:, None] + reach * slope[:, None])
             ahead_s = season[:, (len(y) + steps - 1) % period]
             ahead = np.where(mul_s[:, None], ahead * ahead_s, ahead + ahead_s)
-            rmse = np.sqrt(np.nanmean((ahead - truth[None, :]) ** 2, axis=1))
+            if np.isnan(truth).all():  # future weeks: nothing to test against
+                rmse = np.sqrt(squared / len(y))
+            else:
+                rmse = np.sqrt(np.nanmean((ahead - truth[None, :]) ** 2, axis=1))
         squared = np.where(np.isfinite(squared) & np.isfinite(rmse), squared, np.inf)
         # Weights by train error inside a configuration, the configuration by test error.
         winners = [np.flatnonzero(place == c)[np.argmin(squared[place == c])] for c in np.unique(place)]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stockspark.operators.accuracy import forecast_record, periods, python_literal, score
@@ -15,6 +15,7 @@ from stockspark.operators.series import (
     KEYS,
     PERIOD,
     TARGET,
+    future_dates,
     interpolate_in_time,
     regularise,
     with_minimum_history,
@@ -65,6 +66,46 @@ def compare_series(
     return score(forecasts, target, "yhat", [*keys, "Model"], {"n": F.count("yhat")})
 
 
+def future_split(
+    series: DataFrame,
+    horizon: int,
+    keys: Sequence[str] = KEYS,
+    target: str = TARGET,
+    date: str = DATE,
+    holiday: Callable[[Column], Column] | None = None,
+) -> DataFrame:
+    """The whole history as train rows and ``horizon`` future weeks as test rows without a target.
+
+    Every forecaster takes the result as it takes a split.
+    """
+    size = F.count(F.lit(1)).over(Window.partitionBy(*keys)).cast("int")
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy(date))
+    known = series.select(*keys, date, F.col(target).cast("double").alias(target), F.lit(False).alias("is_test"))
+    ahead = future_dates(series, horizon, keys, date).select(
+        *keys, date, F.lit(None).cast("double").alias(target), F.lit(True).alias("is_test")
+    )
+    rows = known.unionByName(ahead).withColumns({"row": place, "rows": size})
+    return rows if holiday is None else rows.withColumn("IsHoliday", holiday(F.col(date)))
+
+
+def forecast_ahead(
+    series: DataFrame,
+    horizon: int = 12,
+    models: dict[str, tuple[Callable[[DataFrame], DataFrame], dict[str, object]]] | None = None,
+    keys: Sequence[str] = KEYS,
+    target: str = TARGET,
+    date: str = DATE,
+    holiday: Callable[[Column], Column] | None = None,
+) -> DataFrame:
+    """Future weeks of every series from every model."""
+    split = future_split(series, horizon, keys, target, date, holiday)
+    parts = [
+        forecast(split).select(*keys, F.lit(name).alias("Model"), date, "yhat")
+        for name, (forecast, _) in (MODELS if models is None else models).items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def series_log(
     series: DataFrame,
     stamp: str,

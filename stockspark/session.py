@@ -51,8 +51,18 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path under the shared folder."""
-    return f"{shared_folder(spark).rstrip('/')}/stockspark/{name}-{uuid.uuid4().hex}"
+    """A fresh path for this application under the shared folder."""
+    return f"{_scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def _scratch_root(spark: SparkSession) -> str:
+    return f"{shared_folder(spark).rstrip('/')}/stockspark/{spark.sparkContext.applicationId}"
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Delete the tables this application wrote with ``materialise``, once nothing reads them."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(_scratch_root(spark))
+    root.getFileSystem(spark._jsc.hadoopConfiguration()).delete(root, True)
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:
