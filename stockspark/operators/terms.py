@@ -45,7 +45,9 @@ def vocabulary(
 ) -> DataFrame:
     """``term``, ``df`` and ``idf`` of the terms that are neither rare nor everywhere."""
     total = docs.agg(F.count(F.lit(1))).scalar()
-    frequency = counts.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    # Counting through `tf` keeps the columns of `counts` the same as in `weigh`, so that its
+    # exchange is computed once and reused there.
+    frequency = counts.groupBy("term").agg(F.count_if(F.col("tf") > 0).alias("df"))
     kept = frequency.where((F.col("df") >= min_docs) & (F.col("df") <= F.lit(max_share) * total))
     idf = F.log((total + 1).cast("double") / (F.col("df") + 1).cast("double")) + F.lit(1.0)
     return kept.withColumn("idf", idf)
@@ -57,7 +59,10 @@ def salted_join(facts: DataFrame, lookup: DataFrame, column: str, spread: str, s
     A term can occur in a third of all documents; its rows are divided by a hash of ``spread``
     while the small side is repeated once per salt.
     """
-    left = facts.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int"))
+    # The coalesce states that a salt is never NULL; a NULL check on it would be pushed below the
+    # facts' own exchange and keep that from being reused.
+    salt = F.coalesce(F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int"), F.lit(0))
+    left = facts.withColumn("_salt", salt)
     right = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return left.join(right, [column, "_salt"]).drop("_salt")
 
