@@ -7,10 +7,23 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stockspark.llm import fingerprints, language, mixing, toxicity
+from stockspark.llm import fingerprints, language, mixing, pii, secrets, toxicity
 from stockspark.llm.common import fold_of, table
 
 
+def op1_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = pii.find(docs, pii.fit(docs))
+    spans = F.array_sort(F.concat("__base", "__added"))
+    return found.select(
+        "doc_id",
+        *[F.size(F.filter("__base", lambda x, k=k: x["k"] == k)).cast("long").alias(f"n_{name}") for k, name in enumerate(pii.KINDS)],
+        F.sha2(pii.text_of(F.col("__base")).cast("binary"), 256).alias("base_sha256"),
+        pii.text_of(spans).alias("spans"),
+        F.size("__added").cast("long").alias("n_added"),
+    )
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     model = language.fit(language.training_rows(docs))
@@ -40,11 +53,22 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.find(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select(
+        "doc_id", "n_assign", "n_access", "n_hex", "n_random",
+        F.sha2(secrets.spans_text(F.col("base")).cast("binary"), 256).alias("base_sha256"),
+        secrets.spans_text(F.concat("base", "random")).alias("spans"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_personal_data": op1_personal_data,
     "op3_language_id": op3_language_id,
     "op7_document_fingerprints": op7_document_fingerprints,
     "op8_source_mixing": op8_source_mixing,
     "op9_toxicity": op9_toxicity,
+    "op10_secret_scan": op10_secret_scan,
 }
 
 SQL: dict[str, str] = {}
