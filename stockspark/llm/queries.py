@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stockspark.llm import fingerprints, language, mixing, pii, secrets, toxicity
+from stockspark.llm import contamination, fingerprints, language, mixing, pii, secrets, toxicity
 from stockspark.llm.common import fold_of, table
 
 
@@ -24,6 +24,16 @@ def op1_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = contamination.scan(
+        table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark").select("item_id", "text")
+    )
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     model = language.fit(language.training_rows(docs))
@@ -64,6 +74,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_personal_data": op1_personal_data,
+    "op2_decontamination": op2_decontamination,
     "op3_language_id": op3_language_id,
     "op7_document_fingerprints": op7_document_fingerprints,
     "op8_source_mixing": op8_source_mixing,
@@ -71,4 +82,29 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_secret_scan": op10_secret_scan,
 }
 
-SQL: dict[str, str] = {}
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+DUCK_WORDS = f"regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+
+OP2_SQL = f"""
+WITH d AS (SELECT doc_id, {DUCK_WORDS} AS words FROM documents),
+i AS (SELECT item_id, {DUCK_WORDS} AS words FROM benchmark),
+w AS (
+  SELECT DISTINCT item_id, least(10, len(words)) AS size, array_to_string(words[p + 1 : p + least(10, len(words))], ' ') AS body
+  FROM i, unnest(range(greatest(len(words) - 9, least(len(words), 1)))) AS u(p)
+),
+z AS (SELECT DISTINCT size FROM w),
+o AS (
+  SELECT doc_id, p, size, item_id
+  FROM (SELECT doc_id, p, z.size, array_to_string(words[p + 1 : p + z.size], ' ') AS body
+        FROM d, z, unnest(range(greatest(len(words) - z.size + 1, 0))) AS u(p)) AS c
+  JOIN w USING (size, body)
+),
+hit AS (SELECT doc_id, count(DISTINCT q) AS n_hit FROM (SELECT doc_id, unnest(range(p, p + size)) AS q FROM o) GROUP BY doc_id),
+found AS (SELECT doc_id, count(*) AS n_items, string_agg(t, ',' ORDER BY t) AS ids
+          FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS t FROM o) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN found USING (doc_id)
+"""
+
+SQL: dict[str, str] = {"op2_decontamination": OP2_SQL}
