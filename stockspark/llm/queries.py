@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stockspark.llm import contamination, fingerprints, language, mixing, pii, secrets, toxicity
+from stockspark.llm import contamination, fingerprints, language, mixing, neardup, pii, secrets, toxicity
 from stockspark.llm.common import fold_of, table
 
 
@@ -41,6 +41,10 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (fold_of(F.col("doc_id"), 3) == 1).alias("held_out"), "lang_pred", "score")
 
 
+def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.find(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op7_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.compare_with_next(table(spark, sf_dir, "documents"))
 
@@ -76,6 +80,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_personal_data": op1_personal_data,
     "op2_decontamination": op2_decontamination,
     "op3_language_id": op3_language_id,
+    "op6_near_duplicates": op6_near_duplicates,
     "op7_document_fingerprints": op7_document_fingerprints,
     "op8_source_mixing": op8_source_mixing,
     "op9_toxicity": op9_toxicity,
