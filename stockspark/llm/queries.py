@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stockspark.llm import contamination, fingerprints, language, mixing, neardup, pii, secrets, toxicity
+from stockspark.llm import contamination, fingerprints, language, mixing, neardup, pii, repeats, secrets, toxicity
 from stockspark.llm.common import fold_of, table
 
 
@@ -41,6 +41,11 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (fold_of(F.col("doc_id"), 3) == 1).alias("held_out"), "lang_pred", "score")
 
 
+def op5_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repeats.remove(table(spark, sf_dir, "documents").select("doc_id", "text"), digest_only=True)
+    return found.withColumnRenamed("kept", "kept_sha256")
+
+
 def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.find(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -80,6 +85,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_personal_data": op1_personal_data,
     "op2_decontamination": op2_decontamination,
     "op3_language_id": op3_language_id,
+    "op5_repeated_passages": op5_repeated_passages,
     "op6_near_duplicates": op6_near_duplicates,
     "op7_document_fingerprints": op7_document_fingerprints,
     "op8_source_mixing": op8_source_mixing,
