@@ -149,5 +149,5 @@ def mask(docs: DataFrame, model: tagger.Tagger | None) -> DataFrame:
     found = map_rows(docs, ["text"], run, StructType().add("__masked", StringType()).add("__changed", BooleanType()))
     changed = {"text": F.col("__masked")}
     if "n_chars" in docs.columns:
-        changed["n_chars"] = F.when("__changed", F.char_length("__masked").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
+        changed["n_chars"] = F.when(F.col("__changed"), F.char_length("__masked").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
     return found.select(*[changed.get(c, F.col(c)).alias(c) for c in docs.columns])

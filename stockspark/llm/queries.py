@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stockspark.llm import contamination, fingerprints, language, mixing, neardup, pii, repeats, secrets, toxicity
+from stockspark.llm import contamination, fingerprints, language, licences, mixing, neardup, pii, repeats, secrets, toxicity
 from stockspark.llm.common import fold_of, table
 
 
@@ -41,6 +41,16 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (fold_of(F.col("doc_id"), 3) == 1).alias("held_out"), "lang_pred", "score")
 
 
+def op4_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licences.find(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select(
+        "doc_id", F.size("__licences").cast("long").alias("n_licences"),
+        F.array_join(F.array_sort(F.array_distinct("__licences.licence")), ",").alias("licences"),
+        F.coalesce(F.array_max("__licences.dice"), F.lit(0.0)).alias("dice"),
+        F.array_join(F.transform("__licences", lambda x: F.concat_ws(":", x["licence"], x["s"].cast("string"), x["e"].cast("string"))), ",").alias("spans"),
+    )
+
+
 def op5_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = repeats.remove(table(spark, sf_dir, "documents").select("doc_id", "text"), digest_only=True)
     return found.withColumnRenamed("kept", "kept_sha256")
@@ -85,6 +95,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_personal_data": op1_personal_data,
     "op2_decontamination": op2_decontamination,
     "op3_language_id": op3_language_id,
+    "op4_licence_scan": op4_licence_scan,
     "op5_repeated_passages": op5_repeated_passages,
     "op6_near_duplicates": op6_near_duplicates,
     "op7_document_fingerprints": op7_document_fingerprints,
