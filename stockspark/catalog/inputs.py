@@ -25,11 +25,18 @@ from stockspark.session import materialise
 STAMP = "2025-01-01 00:00:00"
 DIGITS = 4
 
-_built: dict[tuple[str, str, str], DataFrame] = {}
+_built: dict[tuple[str, str, tuple, str], DataFrame] = {}
+
+
+def file_state(spark: SparkSession, sf_dir: str) -> tuple[tuple[str, int, int], ...]:
+    """Name, change time and length of the table files, so that a changed table is derived anew."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(sf_dir)
+    found = folder.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(folder)
+    return tuple(sorted((s.getPath().getName(), s.getModificationTime(), s.getLen()) for s in found))
 
 
 def once(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
-    key = (spark.sparkContext.applicationId, sf_dir, name)
+    key = (spark.sparkContext.applicationId, sf_dir, file_state(spark, sf_dir), name)
     if key not in _built:
         _built[key] = materialise(build(), name)
     return _built[key]

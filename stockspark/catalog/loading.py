@@ -127,11 +127,12 @@ def checked_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _order_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = derived.table(spark, sf_dir, "orders")
-    low = F.col("o_orderpriority") == "5-LOW"
+    low, bad = F.col("o_orderpriority") == "5-LOW", F.col("o_orderkey") % 7
     return orders.select(
         "o_orderkey",
         F.when(low, "n/a").otherwise(F.to_date("o_orderdate").cast("string")).alias("day"),
-        F.when(low, "unknown").otherwise(F.col("o_custkey").cast("string")).alias("number"),
+        F.when(low, "unknown").when(bad == 0, "Infinity").when(bad == 1, "NaN").when(bad == 2, "99999999999")
+        .otherwise(F.col("o_custkey").cast("string")).alias("number"),
         F.to_date("o_orderdate").cast("string").alias("good_day"),
     )
 
@@ -248,9 +249,10 @@ ENTRIES = {
     ),
     "numbers_coerced": (
         numbers_coerced,
-        """SELECT o_orderkey, TRY_CAST(number AS DOUBLE) AS value, CAST(coalesce(TRY_CAST(number AS DOUBLE), -1) AS INTEGER) AS id,
-        CAST(coalesce(TRY_CAST(number AS DOUBLE), 0) AS INTEGER) AS score
-        FROM (SELECT o_orderkey, CASE WHEN o_orderpriority = '5-LOW' THEN 'unknown' ELSE CAST(o_custkey AS VARCHAR) END AS number FROM orders)""",
+        """SELECT o_orderkey, TRY_CAST(number AS DOUBLE) AS value, CASE WHEN abs(number) <= 2147483647 THEN CAST(number AS INTEGER) ELSE -1 END AS id,
+        CASE WHEN abs(number) <= 2147483647 THEN CAST(number AS INTEGER) ELSE 0 END AS score
+        FROM (SELECT o_orderkey, CASE WHEN o_orderpriority = '5-LOW' OR o_orderkey % 7 < 2 THEN NULL WHEN o_orderkey % 7 = 2 THEN 99999999999.0
+        ELSE o_custkey END AS number FROM orders)""",
     ),
     "families": (
         families,

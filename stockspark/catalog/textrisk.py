@@ -41,11 +41,10 @@ from stockspark.sources.tables import latest_artifact
 
 
 def _worded(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Labelled items with their content words, written once: several passes follow."""
+    """All items with their content words, written once: several passes follow."""
 
     def build() -> DataFrame:
-        rows = derived.news(spark, sf_dir).where(F.col("risk_category").isNotNull())
-        return rows.select("id", "risk_category", content_words(F.col("summary")).alias("words"))
+        return derived.news(spark, sf_dir).select("id", "risk_category", content_words(F.col("summary")).alias("words"))
 
     return inputs.once(spark, sf_dir, "worded", build)
 
@@ -86,7 +85,7 @@ def term_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _model(spark: SparkSession, sf_dir: str) -> NaiveBayes:
-    return NaiveBayes.fit(_worded(spark, sf_dir), "id", "words", "risk_category")
+    return NaiveBayes.fit(_worded(spark, sf_dir).where("risk_category is not null"), "id", "words", "risk_category")
 
 
 def bayes_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -229,7 +228,7 @@ _mood = {
 }
 _grams = {
     **_content,
-    "docs": "SELECT c.id, risk_category, list_filter(w, lambda x: length(x) >= 2) AS w FROM content c JOIN news n ON c.id = n.id WHERE risk_category IS NOT NULL",
+    "docs": "SELECT c.id, risk_category, list_filter(w, lambda x: length(x) >= 2) AS w FROM content c JOIN news n ON c.id = n.id",
     "uni": "SELECT id, unnest(w) AS t, generate_subscripts(w, 1) AS i FROM docs",
     "tf": """SELECT id, t AS term, count(*) AS tf FROM (SELECT id, t FROM uni UNION ALL
         SELECT id, t || ' ' || nxt FROM (SELECT id, t, lead(t) OVER (PARTITION BY id ORDER BY i) AS nxt FROM uni) WHERE nxt IS NOT NULL) GROUP BY id, t""",
@@ -240,11 +239,17 @@ _grams = {
         FROM (SELECT id, term, (1 + ln(tf::DOUBLE)) * idf AS raw FROM tf JOIN vocab USING (term))""",
 }
 _bayes = {
-    **_grams,
-    "mass": "SELECT term, risk_category AS label, sum(weight) AS m FROM weights JOIN docs USING (id) GROUP BY ALL",
+    **{name: _grams[name] for name in (*_content, "docs", "uni", "tf")},
+    # The vocabulary, its weights and the classes come from labelled items, the scores go to all.
+    "known": "SELECT id, risk_category FROM docs WHERE risk_category IS NOT NULL",
+    "size": "SELECT count(*) AS n FROM known",
+    "vocab": """SELECT term, ln((n + 1)::DOUBLE / (df + 1)) + 1 AS idf
+        FROM (SELECT term, count(*) AS df FROM tf JOIN known USING (id) GROUP BY term), size WHERE df >= 2 AND df <= 0.95 * n""",
+    "weights": _grams["weights"],
+    "mass": "SELECT term, risk_category AS label, sum(weight) AS m FROM weights JOIN known USING (id) GROUP BY ALL",
     "classes": """SELECT risk_category AS label, ln(count(*)::DOUBLE / (SELECT n FROM size)) AS prior,
         ln(0.1::DOUBLE) - ln(coalesce((SELECT sum(m) FROM mass WHERE label = risk_category), 0) + 0.1::DOUBLE * (SELECT count(*) FROM vocab)) AS floor
-        FROM docs GROUP BY risk_category""",
+        FROM known GROUP BY risk_category""",
     "gained": "SELECT id, label, sum(weight * ln((m + 0.1::DOUBLE) / 0.1::DOUBLE)) AS g FROM weights JOIN mass USING (term) GROUP BY ALL",
     "total": "SELECT id, sum(weight) AS w FROM weights GROUP BY id",
     "final": """SELECT d.id, c.label, c.prior + coalesce(t.w, 0) * c.floor + coalesce(g.g, 0) AS score

@@ -59,17 +59,20 @@ def date_or_null(text: Column) -> Column:
 
 
 def number_or_null(text: Column) -> Column:
-    """A finite-or-null double: bad text, blanks and NaN all become NULL."""
+    """A finite-or-null double: bad text, blanks, NaN and infinities all become NULL."""
     number = F.trim(text.cast("string")).try_cast("double")
-    return F.when(~F.isnan(number), number)
+    # NaN sorts above every number, so the comparison leaves it out as well.
+    return F.when(F.abs(number) < F.lit(float("inf")), number)
 
 
 def id_or_unknown(text: Column) -> Column:
-    return F.coalesce(number_or_null(text), F.lit(float(UNKNOWN_ID))).cast("int")
+    """A whole number; what is none, or does not fit, is UNKNOWN_ID."""
+    return F.coalesce(number_or_null(text).try_cast("int"), F.lit(UNKNOWN_ID))
 
 
 def score_or_zero(text: Column) -> Column:
-    return F.coalesce(number_or_null(text), F.lit(0.0)).cast("int")
+    """A whole number; what is none, or does not fit, is 0."""
+    return F.coalesce(number_or_null(text).try_cast("int"), F.lit(0))
 
 
 def nan_to_null(value: Column) -> Column:

@@ -12,6 +12,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from stockspark.functions.coerce import nan_to_null
 from stockspark.operators.leastsquares import fitted, grouped_ridge
 from stockspark.operators.series import DATE, KEYS, PERIOD, TARGET, future_dates
 from stockspark.session import by_series
@@ -41,35 +42,28 @@ def naive(split: DataFrame, keys: Sequence[str] = KEYS, target: str = TARGET, da
     return split.withColumn("yhat", last).where(F.col("is_test"))
 
 
-def _season_back(step: Column, period: int, horizon: int, lagged) -> Column:
-    """The value whole periods earlier, the latest that lies before the first forecast step."""
-    value = None
-    for season in range(1, -(-horizon // period) + 1):
-        here = step < period * season
-        shifted = lagged(period * season)
-        value = F.when(here, shifted) if value is None else value.when(here, shifted)
-    return value
-
-
 def seasonal_naive(
     split: DataFrame,
     period: int = PERIOD,
-    horizon: int = 52,
     keys: Sequence[str] = KEYS,
     target: str = TARGET,
     date: str = DATE,
 ) -> DataFrame:
-    """The value of the same phase of the last train season; NULL if train is shorter than a season.
+    """The value of the same phase of the last train season, repeated for any number of test rows.
 
-    ``horizon`` is the largest number of test rows of a series.
+    NULL if train is shorter than a season. The last season of a series is an array of ``period``
+    values that its test rows look up by phase.
     """
-    order = Window.partitionBy(*keys).orderBy(date)
-    train = F.count_if(~F.col("is_test")).over(Window.partitionBy(*keys))
-    work = split.withColumns({"_train": train})
-    step = F.col("row") - F.col("_train") - 1
-    value = _season_back(step, period, horizon, lambda k: F.lag(target, k).over(order))
-    shown = F.when(F.col("_train") >= period, value)
-    return work.withColumn("yhat", shown).where(F.col("is_test")).drop("_train")
+    whole = Window.partitionBy(*keys)
+    train = F.count_if(~F.col("is_test")).over(whole)
+    last = F.when(
+        ~F.col("is_test") & (F.col("row") > F.col("_train") - F.lit(period)),
+        F.struct(F.col("row").alias("row"), F.col(target).alias("value")),
+    )
+    work = split.withColumn("_train", train).withColumn("_season", F.sort_array(F.collect_list(last).over(whole)))
+    phase = ((F.col("row") - F.col("_train") - 1) % F.lit(period)).cast("int")
+    shown = F.when(F.col("_train") >= period, F.get(F.col("_season"), phase)["value"])
+    return work.withColumn("yhat", shown).where(F.col("is_test")).drop("_train", "_season")
 
 
 def ahead_naive(
@@ -175,6 +169,9 @@ def smoothing(
         # Weights by train error inside a configuration, the configuration by test error.
         winners = [np.flatnonzero(place == c)[np.argmin(squared[place == c])] for c in np.unique(place)]
         winners = [w for w in winners if np.isfinite(squared[w])]
+        if not winners:  # no configuration gives a usable value: the rows stay, without a forecast
+            test["yhat"], test["config"] = np.nan, "not fitted"
+            return test
         best = min(winners, key=lambda w: rmse[w])
         test["yhat"] = ahead[best]
         test["config"] = labels[int(place[best])]
@@ -185,7 +182,8 @@ def smoothing(
     rows = by_series(rows, keys)
     rows = rows.withColumn("_train", train).where(F.col("_train") >= least).drop("_train")
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
-    return rows.groupBy(*keys).applyInPandas(fit, f"{schema}, yhat double, config string")
+    fitted_rows = rows.groupBy(*keys).applyInPandas(fit, f"{schema}, yhat double, config string")
+    return fitted_rows.withColumn("yhat", nan_to_null(F.col("yhat")))
 
 
 def ar_regression(
@@ -203,6 +201,9 @@ def ar_regression(
     """
     order = Window.partitionBy(*keys).orderBy(date)
     lags = {"_lag1": 1, "_lag2": 2, "_lagS": period}
+    # A missing outside value counts as 0, in train rows as in test rows.
+    known = {c: F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in exogenous}
+    split = split.withColumns(known) if known else split
     lagged = split.withColumns({name: F.lag(target, k).over(order) for name, k in lags.items()})
     features = [*lags, *exogenous]
     models = grouped_ridge(lagged.where(~F.col("is_test")), keys, target, features, ridge)

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stockspark.checks import require_choice, require_columns
+from stockspark.functions.calendar import friday_on_or_after
 
 KEYS = ("Store", "Dept")
 DATE = "Date"
@@ -87,14 +88,17 @@ def regularise(
 ) -> DataFrame:
     """One row per week from the first to the last week of each series.
 
+    Dates are moved to the Friday on or after them; of several rows in a week the last one counts.
     Each row is stretched to just before its successor, so the gaps appear without building a
     separate calendar and joining to it. ``fill`` is ``null``, ``zero`` or ``pad``. ``pad``
     repeats the row before the gap, and leaves values that were NULL in the data as they are.
     """
     require_choice(fill, ("null", "zero", "pad"), "fill")
     require_columns(df, [*keys, date, *values])
-    following = F.lead(date).over(_order(keys, date))
-    framed = df.select(*keys, *values, F.col(date).alias("_own"), following.alias("_following"))
+    friday = friday_on_or_after(F.col(date))
+    following = F.lead("_own").over(Window.partitionBy(*keys).orderBy("_own", "_day"))
+    framed = df.select(*keys, *values, friday.alias("_own"), F.col(date).alias("_day"))
+    framed = framed.withColumn("_following", following).where(F.col("_following").isNull() | (F.col("_following") > F.col("_own")))
     last_day = F.coalesce(F.date_sub("_following", 7), F.col("_own"))
     weeks = F.sequence(F.col("_own"), last_day, F.expr("interval 7 days"))
     stretched = framed.select(*keys, *values, "_own", F.explode(weeks).alias(date))

@@ -16,11 +16,12 @@ from stockspark.operators.cleaning import align_features, drop_incomplete, encod
 from stockspark.operators.series import DATE, TARGET
 from stockspark.operators.splits import split_by_date
 from stockspark.operators.trees import fit_trees, predict
-from stockspark.session import materialise, spread
+from stockspark.session import by_series, materialise
 from stockspark.sources.tables import save_model
 
 TYPE, TYPE_CODE = "Type", "Type_Encoded"
 GLOBAL_ID = 0
+UNSEEN = -1
 
 
 @dataclass
@@ -54,6 +55,8 @@ class RegressionPrep:
         rows = rows.withColumns(present)
         if self.codes is not None and TYPE in rows.columns:
             rows = encode_label(rows, TYPE, TYPE_CODE, self.codes)
+            # A label that training never saw gets a code of its own.
+            rows = rows.withColumn(TYPE_CODE, F.coalesce(TYPE_CODE, F.lit(UNSEEN)))
         kept = [c for c in (DATE, self.target, "is_test") if c in rows.columns]
         return rows.select(*kept, *align_features(rows, self.features))
 
@@ -72,7 +75,9 @@ def compare_trees(
     """
     split = split_by_date(featured, weeks)
     prep = RegressionPrep.fit(split.where(~F.col("is_test")), target)
-    prepared = materialise(spread(prep.transform(split)), "prepared")
+    # Rows are placed by a hash of their values, so that the draws of the trees repeat.
+    prepared = prep.transform(split)
+    prepared = materialise(by_series(prepared, prepared.columns), "prepared")
     spans = prepared.agg(
         period_label(DATE, ~F.col("is_test")).alias("Train_Period"),
         period_label(DATE, F.col("is_test")).alias("Test_Period"),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Sequence
@@ -34,8 +35,9 @@ def build_session(app: str = "stockspark", master: str | None = None, **conf: st
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, from ``spark.checkpoint.dir``.
 
-    A temporary folder is made only where the setting is absent, which is the case in a
-    single-machine test.
+    Where the setting is absent, a folder of the default file system is taken, and a temporary
+    folder of this machine only in local mode. A folder of one machine is refused on a cluster, as
+    every executor would write to its own disk.
     """
     context = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None)
@@ -43,13 +45,22 @@ def shared_folder(spark: SparkSession) -> str:
         active = context._jsc.sc().getCheckpointDir()
         if active.isDefined():
             return active.get()
-        configured = tempfile.mkdtemp(prefix="stockspark-")
+        configured = default_folder(context.master, spark._jsc.hadoopConfiguration().get("fs.defaultFS") or "file:///")
     if not context._jsc.sc().getCheckpointDir().isDefined():
         context.setCheckpointDir(configured)
         return context._jsc.sc().getCheckpointDir().get()
     return configured
 
 
+def default_folder(master: str, default_fs: str) -> str:
+    """Where intermediate tables go without ``spark.checkpoint.dir``."""
+    if not default_fs.startswith("file:"):
+        return f"{default_fs.rstrip('/')}/tmp/stockspark"
+    if not re.fullmatch(r"local(\[.*\])?", master):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return tempfile.mkdtemp(prefix="stockspark-")
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path for this application under the shared folder."""
     return f"{_scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
@@ -76,18 +87,6 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Spread rows over all cores where the input has fewer splits than there are cores.
-
-    For row-by-row work that is heavy next to reading. Large inputs have splits enough and pass
-    through unchanged, without a shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    split = int(df.sparkSession.conf.get("spark.sql.files.maxPartitionBytes").rstrip("bB"))
-    return df.repartition(cores) if size < cores * split else df
-
-
 def by_series(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Partition by series for work that is heavy per row.
 

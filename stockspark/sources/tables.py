@@ -7,9 +7,10 @@ from collections.abc import Sequence
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DoubleType, FloatType, StructType
 
 from stockspark.checks import require_columns
+from stockspark.functions.coerce import nan_to_null
 
 SALES = "Store int, Dept int, Date string, Weekly_Sales double, IsHoliday boolean"
 STORES = "Store int, Type string, Size int"
@@ -35,7 +36,7 @@ MISSING = "NA"
 
 
 def read_csv(spark: SparkSession, path: str, schema: str | StructType, quoted_lines: bool = False) -> DataFrame:
-    """A CSV file with a header, an explicit schema and no inference pass.
+    """A CSV file with a header, an explicit schema and no inference pass; NaN is read as missing.
 
     Quotes inside quoted fields are doubled. ``quoted_lines`` allows line breaks inside quotes,
     which makes each file a single split; leave it off for large plain files.
@@ -44,7 +45,9 @@ def read_csv(spark: SparkSession, path: str, schema: str | StructType, quoted_li
     reader = reader.option("nullValue", MISSING).option("enforceSchema", False)
     if quoted_lines:
         reader = reader.option("multiLine", True)
-    return reader.csv(path)
+    rows = reader.csv(path)
+    real = {f.name: nan_to_null(F.col(f.name)) for f in rows.schema if isinstance(f.dataType, (DoubleType, FloatType))}
+    return rows.withColumns(real) if real else rows
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:

@@ -75,7 +75,7 @@ def main() -> None:
     sf_dir = args[0] if args else "/root/testdata/sf0.01"
     wanted = args[1:]
     spark = build_session(
-        master="local[8]", spark__ui__enabled="false", spark__sql__shuffle__partitions="8", spark__driver__memory="12g"
+        master="local[8]", spark__ui__enabled="false", spark__ui__showConsoleProgress="false", spark__sql__shuffle__partitions="8", spark__driver__memory="12g"
     )
     spark.sparkContext.setLogLevel("ERROR")
     connection = duck(sf_dir)
