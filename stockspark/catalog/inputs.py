@@ -74,12 +74,12 @@ def level_only(split: DataFrame) -> DataFrame:
     return smoothing(split, configs=[(None, None, False)])
 
 
-# Forecasters whose results SQL can state as well.
+# Forecasters whose results SQL can state as well, under names of their own.
 PLAIN_MODELS = {
     "NaiveForecast": (naive, {"method": "last_value"}),
     "SeasonalNaiveForecast": (seasonal_naive, {"seasonal_period": 52, "method": "last_season_value"}),
-    "ETS (Best)": (level_only, {"trend": None, "seasonal": None, "damped_trend": False}),
-    "Prophet": (trend_only, {"yearly_seasonality": False, "holidays_df_provided_to_model": False}),
+    "level_smoothing": (level_only, {"trend": None, "seasonal": None, "damped_trend": False}),
+    "log_trend": (trend_only, {"yearly_seasonality": False, "holidays_df_provided_to_model": False}),
 }
 
 

@@ -113,7 +113,7 @@ def union_of_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A series log and a log with feature columns, by name; absent columns are NULL."""
     log = inputs.log_table(spark, sf_dir)
     series = log.where(F.col("Model") == "NaiveForecast")
-    pooled = log.where(F.col("Model") == "Prophet").withColumns(
+    pooled = log.where(F.col("Model") == "log_trend").withColumns(
         {"Features_Count": F.lit(1), "Features_List_Used": F.lit("['Year']")}
     )
     both = union_logs({"classical_ts": series, "classical_reg": pooled})
@@ -233,7 +233,7 @@ ENTRIES = {
         query(
             f"""SELECT 'classical_ts' AS Log_Type_Source, Store, Dept, Model, CAST(NULL AS INTEGER) AS Features_Count,
             CAST(NULL AS VARCHAR) AS Features_List_Used, {rounded('MAE', 2)} AS MAE FROM logs WHERE Model = 'NaiveForecast'
-            UNION ALL SELECT 'classical_reg', Store, Dept, Model, 1, '[''Year'']', {rounded('MAE', 2)} FROM logs WHERE Model = 'Prophet'""",
+            UNION ALL SELECT 'classical_reg', Store, Dept, Model, 1, '[''Year'']', {rounded('MAE', 2)} FROM logs WHERE Model = 'log_trend'""",
             "logs",
         ),
     ),

@@ -32,7 +32,7 @@ def _saved(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The log with stored models for two families, one of them pooled under Store = Dept = 0."""
     log = inputs.log_table(spark, sf_dir)
     model = F.col("Model")
-    path = F.when(model == "ETS (Best)", F.concat_ws("_", F.lit("ets"), "Store", "Dept")).when(model == "Prophet", "  ")
+    path = F.when(model == "level_smoothing", F.concat_ws("_", F.lit("ets"), "Store", "Dept")).when(model == "log_trend", "  ")
     own = log.withColumn("model_path", path)
     pooled = log.where(model == "NaiveForecast").agg(F.avg("RMSE").alias("RMSE"))
     pooled = pooled.select(
@@ -88,7 +88,7 @@ def locals_only(spark: SparkSession, sf_dir: str) -> DataFrame:
 def names(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Display names; one family has no RMSE."""
     log = inputs.log_table(spark, sf_dir)
-    rmse = F.when(F.col("Model") != "Prophet", F.round("RMSE", 0))
+    rmse = F.when(F.col("Model") != "log_trend", F.round("RMSE", 0))
     return log.select("Store", "Dept", rmse_name(F.col("Model"), rmse).alias("display_name"))
 
 
@@ -98,7 +98,8 @@ def saved_models(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     series = inputs.log_table(spark, sf_dir).select("Store", "Dept").distinct()
-    return candidate_models(_saved(spark, sf_dir), series).select("Store", "Dept", "base_name", "model_path")
+    found = candidate_models(_saved(spark, sf_dir), series)
+    return shown(found.select("Store", "Dept", "base_name", "model_path", "RMSE"), 2)
 
 
 def logged_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -126,7 +127,7 @@ def _means(by: str) -> str:
 _best = """SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY Store, Dept ORDER BY RMSE, Model) AS place FROM logs
 WHERE Store > 0 AND Dept > 0 AND RMSE IS NOT NULL) WHERE place = 1"""
 _saved_sql = {
-    "saved": """SELECT Store, Dept, Model, RMSE, CASE Model WHEN 'ETS (Best)' THEN 'ets_' || Store || '_' || Dept WHEN 'Prophet' THEN '  ' END AS model_path FROM logs
+    "saved": """SELECT Store, Dept, Model, RMSE, CASE Model WHEN 'level_smoothing' THEN 'ets_' || Store || '_' || Dept WHEN 'log_trend' THEN '  ' END AS model_path FROM logs
     UNION ALL SELECT 0, 0, 'NaiveForecast', avg(RMSE), 'naive_all' FROM logs WHERE Model = 'NaiveForecast'""",
 }
 
@@ -136,7 +137,7 @@ ENTRIES = {
         query(
             f"""SELECT 'classical_ts' AS Log_Type_Source, Store, Dept, Model, Model_Family, CAST(test_lo AS VARCHAR) AS period_start,
             CAST(test_hi AS VARCHAR) AS period_end, {rounded('MAE', 2)} AS MAE, {rounded('RMSE', 2)} AS RMSE, {rounded('MAPE', 2)} AS MAPE,
-            CASE Model WHEN 'NaiveForecast' THEN 1 WHEN 'ETS (Best)' THEN 3 ELSE 2 END AS parameters,
+            CASE Model WHEN 'NaiveForecast' THEN 1 WHEN 'level_smoothing' THEN 3 ELSE 2 END AS parameters,
             CASE Model WHEN 'NaiveForecast' THEN 'last_value' WHEN 'SeasonalNaiveForecast' THEN 'last_season_value' END AS method, 0 AS features FROM logs""",
             "logs",
         ),
@@ -168,7 +169,7 @@ ENTRIES = {
     "display_names": (
         names,
         query(
-            """SELECT Store, Dept, Model || ' (RMSE: ' || CASE WHEN Model <> 'Prophet' THEN printf('%.2f', round(RMSE, 0)) ELSE 'N/A' END || ')' AS display_name
+            """SELECT Store, Dept, Model || ' (RMSE: ' || CASE WHEN Model <> 'log_trend' THEN printf('%.2f', round(RMSE, 0)) ELSE 'N/A' END || ')' AS display_name
             FROM logs""",
             "logs",
         ),
@@ -180,9 +181,10 @@ ENTRIES = {
     "candidate_models": (
         candidates,
         query(
-            """SELECT DISTINCT s.Store, s.Dept, CASE WHEN m.Store = 0 THEN m.Model || ' (Global)' ELSE m.Model END AS base_name, m.model_path
+            f"""SELECT s.Store, s.Dept, CASE WHEN m.Store = 0 THEN m.Model || ' (Global)' ELSE m.Model END AS base_name, m.model_path,
+            {rounded('min(m.RMSE)', 2)} AS RMSE
             FROM (SELECT DISTINCT Store, Dept FROM logs) s JOIN saved m ON (m.Store = s.Store AND m.Dept = s.Dept) OR (m.Store = 0 AND m.Dept = 0)
-            WHERE trim(m.model_path) <> ''""",
+            WHERE trim(m.model_path) <> '' GROUP BY ALL""",
             "logs",
             extra=_saved_sql,
         ),

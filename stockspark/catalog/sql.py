@@ -220,7 +220,7 @@ BLOCKS: dict[str, tuple[tuple[str, ...], str]] = {
     "forecasts": (
         ("naive", "snaive", "ets", "trend"),
         """SELECT 'NaiveForecast' AS Model, * FROM naive UNION ALL SELECT 'SeasonalNaiveForecast', * FROM snaive
-        UNION ALL SELECT 'ETS (Best)', * FROM ets UNION ALL SELECT 'Prophet', * FROM trend""",
+        UNION ALL SELECT 'level_smoothing', * FROM ets UNION ALL SELECT 'log_trend', * FROM trend""",
     ),
     "scored": (
         ("forecasts",),
@@ -238,7 +238,7 @@ BLOCKS: dict[str, tuple[tuple[str, ...], str]] = {
     "logs": (
         ("scored", "spans"),
         """SELECT *, CASE Model WHEN 'NaiveForecast' THEN 'Baseline Naive' WHEN 'SeasonalNaiveForecast' THEN 'Baseline Naive'
-            WHEN 'ETS (Best)' THEN 'ETS' ELSE 'Prophet' END AS Model_Family
+            ELSE 'Other Classical' END AS Model_Family
         FROM scored JOIN spans USING (Store, Dept)""",
     ),
     "costs": (

@@ -12,6 +12,8 @@ from stockspark.operators.profile import box_stats
 from stockspark.operators.series import DATE, KEYS
 
 METRICS = ("MAE", "RMSE", "MAPE")
+# Parts into which the lookup of the global models is spread.
+GLOBAL_SALTS = 32
 
 
 def error_measures(actual: Column, predicted: Column) -> dict[str, Column]:
@@ -156,15 +158,21 @@ def with_saved_model(logs: DataFrame, path: str = "model_path") -> DataFrame:
 def candidate_models(logs: DataFrame, series: DataFrame) -> DataFrame:
     """Models on offer for each series: its own and the global ones (Store = Dept = 0).
 
-    Each series looks up two keys, its own and the global one, in a single equi-join.
+    Each series looks up two keys, its own and the global one, in a single equi-join. Every series
+    asks for the global key, so that key is spread over GLOBAL_SALTS by a hash of the series, and the
+    few global models are repeated as often.
     """
+    key = lambda s, d, salt: F.struct(s.alias("_s"), d.alias("_d"), salt.cast("int").alias("_salt"))
+    salts = F.when(
+        (F.col("Store") == 0) & (F.col("Dept") == 0), F.sequence(F.lit(0), F.lit(GLOBAL_SALTS - 1))
+    ).otherwise(F.array(F.lit(0)))
     saved = with_saved_model(logs).select(
-        F.col("Store").alias("_s"), F.col("Dept").alias("_d"), "Model", "model_path", "RMSE"
+        F.col("Store").alias("_s"), F.col("Dept").alias("_d"), F.explode(salts).alias("_salt"), "Model", "model_path", "RMSE"
     )
-    own = F.struct(F.col("Store").alias("_s"), F.col("Dept").alias("_d"))
-    everywhere = F.struct(F.lit(0).alias("_s"), F.lit(0).alias("_d"))
+    own = key(F.col("Store"), F.col("Dept"), F.lit(0))
+    everywhere = key(F.lit(0), F.lit(0), F.pmod(F.hash("Store", "Dept"), F.lit(GLOBAL_SALTS)))
     looked_up = series.select("Store", "Dept", F.inline(F.array(own, everywhere)))
-    found = looked_up.join(saved, ["_s", "_d"])
+    found = looked_up.join(saved, ["_s", "_d", "_salt"])
     base = F.when(F.col("_s") == 0, F.concat("Model", F.lit(" (Global)"))).otherwise(F.col("Model"))
     named = found.select("Store", "Dept", base.alias("base_name"), "model_path", "RMSE")
     one = named.groupBy("Store", "Dept", "base_name", "model_path").agg(F.min("RMSE").alias("RMSE"))

@@ -1,4 +1,5 @@
 import datetime
+import os
 from statistics import NormalDist
 
 import pytest
@@ -147,3 +148,21 @@ def test_family_of_nothing(spark):
     assert list(row) == ["Unknown", "Other"]
     with pytest.raises(ValueError):
         model_family(F.lit("x"), "other")
+
+
+def test_intermediate_tables_never_go_to_one_machine_of_a_cluster(tmp_path):
+    from stockspark.session import default_folder
+
+    assert default_folder("yarn", "hdfs://name:8020/") == "hdfs://name:8020/tmp/stockspark"
+    assert os.path.isdir(default_folder("local[4]", "file:///"))
+    for master in ("yarn", "spark://host:7077", "local-cluster[2,1,1024]", "k8s://https://host"):
+        with pytest.raises(ValueError):
+            default_folder(master, "file:///")
+
+
+def test_bad_numbers_end_no_job(spark):
+    texts = ["7", "7.9", "Infinity", "-Infinity", "NaN", "99999999999", "-99999999999", "x", " ", None]
+    rows = [one(spark, coerce.number_or_null(F.lit(t)), coerce.id_or_unknown(F.lit(t)), coerce.score_or_zero(F.lit(t))) for t in texts]
+    assert [r[0] for r in rows] == [7.0, 7.9, None, None, None, 99999999999.0, -99999999999.0, None, None, None]
+    assert [r[1] for r in rows] == [7, 7, -1, -1, -1, -1, -1, -1, -1, -1]
+    assert [r[2] for r in rows] == [7, 7, 0, 0, 0, 0, 0, 0, 0, 0]

@@ -242,10 +242,10 @@ def test_grouped_ridge_per_group(spark):
 def test_seasonal_naive_over_several_seasons(spark):
     y = list(range(1, 41))
     df = split_last_n(series_frame(spark, {(1, 1): y}), 20)
-    got = [r[0] for r in forecasts.seasonal_naive(df, 8, 20).orderBy("Date").select("yhat").collect()]
+    got = [r[0] for r in forecasts.seasonal_naive(df, 8).orderBy("Date").select("yhat").collect()]
     assert got == [float(y[20 - 8 + i % 8]) for i in range(20)]
     short = split_last_n(series_frame(spark, {(1, 1): list(range(1, 25))}), 20)
-    assert forecasts.seasonal_naive(short, 8, 20).where("yhat IS NOT NULL").count() == 0
+    assert forecasts.seasonal_naive(short, 8).where("yhat IS NOT NULL").count() == 0
 
 
 def plain_replay(demand, opening, q, r, lead):
@@ -433,3 +433,28 @@ def test_alerts_on_a_stream(spark, tmp_path):
     got = spark.read.parquet(str(tmp_path / "out")).select("id", "ai_risk_score", "predicted_sentiment")
     want = enrich(news).select("id", "ai_risk_score", "predicted_sentiment")
     assert got.count() == len(NEWS) and got.exceptAll(want).count() == 0
+
+
+def test_seasonal_naive_repeats_for_any_number_of_rows(spark):
+    values = [float(v) for v in range(1, 31)]
+    df = series_frame(spark, {(1, 1): values})
+    got = forecasts.seasonal_naive(split_last_n(df, 20), period=4).orderBy("Date").select("yhat").collect()
+    assert [r[0] for r in got] == [7.0, 8.0, 9.0, 10.0] * 5
+
+
+def test_weeks_with_several_or_odd_days(spark):
+    days = [date(2024, 1, 2), date(2024, 1, 4), date(2024, 1, 5), date(2024, 1, 6), date(2024, 1, 25)]
+    df = spark.createDataFrame([(1, 1, d, float(k)) for k, d in enumerate(days)], "Store int, Dept int, Date date, Weekly_Sales double")
+    got = {str(r["Date"]): r["Weekly_Sales"] for r in regularise(df, ["Weekly_Sales"]).collect()}
+    assert got == {"2024-01-05": 2.0, "2024-01-12": 3.0, "2024-01-19": None, "2024-01-26": 4.0}
+
+
+def test_a_series_without_usable_values_keeps_its_rows(spark):
+    rows = {(1, 1): [None] * 16, (2, 1): [float(v % 4 + 1) for v in range(16)]}
+    split = split_last_n(series_frame(spark, rows), 4)
+    got = forecasts.smoothing(split, period=4, configs=[(None, None, False)]).toPandas() if forecasts.MINIMUM_ROWS <= 12 else None
+    if got is None:
+        rows = {k: v * 3 for k, v in rows.items()}
+        got = forecasts.smoothing(split_last_n(series_frame(spark, rows), 4), period=4, configs=[(None, None, False)]).toPandas()
+    assert got[got["Store"] == 1]["yhat"].isna().all() and (got[got["Store"] == 1]["config"] == "not fitted").all()
+    assert got[got["Store"] == 2]["yhat"].notna().all() and len(got) == 8
