@@ -40,9 +40,13 @@ def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents drawn with calibrated probabilities, with their topic and weight."""
+    """Documents drawn with calibrated probabilities, with their topic and weight.
+
+    A column of the documents that has the name of an added one stays as it is.
+    """
     found = mixing.mix(docs).where("__sampled")
-    return found.select(*docs.columns, F.col("__topic").alias("topic"), F.col("__weight").alias("weight"), F.col("__probability").alias("probability"))
+    added = {"topic": "__topic", "weight": "__weight", "probability": "__probability"}
+    return found.select(*docs.columns, *[F.col(c).alias(n) for n, c in added.items() if n not in docs.columns])
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
