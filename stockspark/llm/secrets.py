@@ -135,8 +135,11 @@ def bits(token: Column) -> Column:
 
 
 def tested(text: Column) -> Column:
-    """Tokens with (s, e, token, p): p is divided by the weight of the token's length."""
-    long_enough = F.filter(located(text, TOKEN), lambda m: bits(m["token"]) >= MIN_BITS)
+    """Tokens with (s, e, token, p): p is divided by the weight of the token's length.
+
+    Tokens of letters alone are words run together far more often than keys, and are left out.
+    """
+    long_enough = F.filter(located(text, TOKEN), lambda m: m["token"].rlike("[0-9]") & (bits(m["token"]) >= MIN_BITS))
     return F.transform(
         long_enough,
         lambda m: F.struct(
