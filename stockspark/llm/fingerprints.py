@@ -27,6 +27,8 @@ from stockspark.llm.common import mix64, small_batches
 CELLS = 36
 HASHES = 3
 CUT = 5  # a cut after one in 2**CUT bytes on average
+_SHIFTS = np.array([[0], [21], [42]], dtype=np.uint64)
+_PARTS = np.arange(HASHES, dtype=np.int64)[:, None]
 _MULTIPLIER = 0x9E3779B97F4A7C15
 _powers = [np.ones(1, dtype=np.uint64), np.ones(1, dtype=np.uint64)]
 
@@ -70,19 +72,22 @@ def sketch(keys: np.ndarray, cells: int = CELLS) -> tuple[np.ndarray, np.ndarray
     """Counts, xors of keys and xors of checks of a table with ``cells`` cells."""
     part = cells // HASHES
     where = cell_places(keys, part)
-    counts = np.bincount(where.ravel(), minlength=part * HASHES).astype(np.int64)
+    checks_of = check_of(keys)
+    counts = np.bincount(where.ravel(), minlength=part * HASHES)
     sums, checks = np.zeros(part * HASHES, dtype=np.uint64), np.zeros(part * HASHES, dtype=np.uint64)
-    np.bitwise_xor.at(sums, where.ravel(), np.tile(keys, HASHES))
-    np.bitwise_xor.at(checks, where.ravel(), np.tile(check_of(keys), HASHES))
+    for row in where:
+        np.bitwise_xor.at(sums, row, keys)
+        np.bitwise_xor.at(checks, row, checks_of)
     return counts, sums, checks
 
 
 def cell_places(keys: np.ndarray, part: int) -> np.ndarray:
-    return np.stack([(mix64(keys + np.uint64(7919 * (j + 1))) % np.uint64(part)).astype(np.int64) + j * part for j in range(HASHES)])
+    """One cell for each of the HASHES parts of the table, from bits of the scrambled keys."""
+    return ((keys >> _SHIFTS) % np.uint64(part)).astype(np.int64) + _PARTS * part
 
 
 def check_of(keys: np.ndarray) -> np.ndarray:
-    return mix64(keys ^ np.uint64(0xA5A5A5A5A5A5A5A5))
+    return (keys ^ (keys >> np.uint64(31))) * np.uint64(0xA24BAED4963EE407)
 
 
 def peel(cells: tuple[np.ndarray, np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray] | None:
@@ -95,13 +100,14 @@ def peel(cells: tuple[np.ndarray, np.ndarray, np.ndarray]) -> tuple[np.ndarray,
         if not len(pure):
             break
         keys, at = np.unique(sums[pure], return_index=True)
-        signs = counts[pure][at]
+        signs = counts[pure[at]]
         ours.append(keys[signs > 0])
         theirs.append(keys[signs < 0])
-        where = cell_places(keys, part).ravel()
-        np.subtract.at(counts, where, np.tile(signs, HASHES))
-        np.bitwise_xor.at(sums, where, np.tile(keys, HASHES))
-        np.bitwise_xor.at(checks, where, np.tile(check_of(keys), HASHES))
+        marks = check_of(keys)
+        for row in cell_places(keys, part):
+            np.subtract.at(counts, row, signs)
+            np.bitwise_xor.at(sums, row, keys)
+            np.bitwise_xor.at(checks, row, marks)
     if counts.any() or sums.any() or checks.any():
         return None
     none = np.zeros(0, dtype=np.uint64)
