@@ -36,8 +36,8 @@ ANCHOR = 20
 SPAN = DEPTH - ANCHOR + 1
 LONGEST = 128  # passages in a segment
 GROUP = 4000  # undecided segments of an anchor in one suffix array
-LOCAL_BYTES = 8 << 20
-ARRAY_BYTES = 2 << 20
+LOCAL_BYTES = 4 << 20
+ARRAY_BYTES = 1 << 20
 MARK, ARRAY, SINGLE = 0, 1, 2
 
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
