@@ -12,8 +12,9 @@ common ordered run of shingles, aligned within a band, makes up SIMILARITY of al
    centre, and each member is paired with it, so a bucket of n gives n - 1 pairs, not n * (n - 1) / 2.
 3. Pairs are verified with the words of both texts, and links are joined into classes by passing on the
    smallest label along links until nothing changes.
-4. In buckets that still hold several classes, another member becomes the centre for the members of
-   other classes, round after round, until a round finds no further link.
+4. In buckets that still hold several classes, CENTRES drawn members and the one with most links become
+   centres for the members of other classes, round after round, until a round finds no further link. The
+   pairs of a round stay in proportion to the members; small buckets are soon compared in full.
 
 Intermediate tables are written to the shared folder, so lineage is short and executors may be lost.
 """
@@ -37,6 +38,7 @@ SHINGLE = 5
 SIMILARITY = 0.8
 SKETCHES = 16
 LENGTH = 3
+CENTRES = 6
 _STEPS = 1 << 16
 
 _factors = mix64(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
@@ -196,6 +198,11 @@ def classes(links: DataFrame, name: str = "classes") -> DataFrame:
             return labels
 
 
+def degrees(links: DataFrame) -> DataFrame:
+    """(node, links): the number of links of each node that has one."""
+    return links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("links"))
+
+
 def find(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     """(doc_id, class_id, copies, links): one row for each row of ``docs``.
 
@@ -220,15 +227,21 @@ def find(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     turn = 0
     while True:
         turn += 1
-        placed = buckets.select("key", "node").join(labels, "node", "left").select("key", "node", F.coalesce("label", "node").alias("label"))
-        draw = F.struct(F.xxhash64("key", "node", F.lit(turn)), "node", "label")
+        known = labels.join(degrees(links), "node")
+        placed = buckets.select("key", "node").join(known, "node", "left").select(
+            "key", "node", F.coalesce("label", "node").alias("label"), F.coalesce("links", F.lit(0)).alias("links")
+        )
+        # The draws do not depend on the bucket, so that buckets of the same texts share their centres.
+        draws = [F.min(F.struct(F.xxhash64("node", F.lit(turn), F.lit(j)).alias("draw"), "node", "label")) for j in range(CENTRES)]
+        hub = F.max(F.struct("links", F.xxhash64("node", F.lit(turn)).alias("draw"), "node", "label"))
+        draws.append(F.struct(hub["draw"].alias("draw"), hub["node"].alias("node"), hub["label"].alias("label")))
         mixed = (
-            placed.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.min(draw).alias("c"))
-            .where("low <> high").select("key", F.col("c.node").alias("b"), F.col("c.label").alias("other"))
+            placed.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.array(*draws).alias("centres"))
+            .where("low <> high").select("key", "centres")
         )
         pairs = (
-            placed.join(mixed, "key").where(F.col("label") != F.col("other"))
-            .select(F.greatest("node", "b").alias("a"), F.least("node", "b").alias("b")).distinct()
+            placed.join(mixed, "key").select("node", "label", F.explode("centres").alias("c")).where(F.col("label") != F.col("c.label"))
+            .select(F.greatest("node", "c.node").alias("a"), F.least("node", "c.node").alias("b")).distinct()
             .join(tried, ["a", "b"], "left_anti")
         )
         fresh = materialise(pairs, "pairs")
@@ -239,11 +252,10 @@ def find(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
         links = links.unionByName(more)
         labels = classes(links)
 
-    degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").count()
     classed = texts.select("node", "doc_id", "copies").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     lowest = classed.groupBy("label").agg(F.min("doc_id").alias("class_id"))
-    per_text = classed.join(lowest, "label").join(degree, "node", "left").select(
-        "node", "class_id", "copies", F.coalesce("count", F.lit(0)).cast("long").alias("links")
+    per_text = classed.join(lowest, "label").join(degrees(links), "node", "left").select(
+        "node", "class_id", "copies", F.coalesce("links", F.lit(0)).alias("links")
     )
     return rows.select("doc_id", "node").join(per_text, "node", "left").select(
         "doc_id",
