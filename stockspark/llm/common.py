@@ -50,6 +50,11 @@ def map_rows(df: DataFrame, columns: list[str], function: Callable[[list[list]],
     return df.mapInArrow(run, schema)
 
 
+def row_key(doc_id: str = "doc_id", text: str = "text") -> Column:
+    """The digest of the text and the id as one text: rows of one id (or none) with other texts differ."""
+    return F.concat_ws(":", F.md5(F.coalesce(F.col(text), F.lit("")).cast("binary")), F.col(doc_id).cast("string"))
+
+
 def mix64(values: np.ndarray) -> np.ndarray:
     """A bijective scrambling of 64-bit values (the finaliser of a splittable generator)."""
     x = values.astype(np.uint64, copy=True)

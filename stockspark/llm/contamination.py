@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stockspark.llm.common import mix64, small_batches
+from stockspark.llm.common import mix64, row_key, small_batches
 from stockspark.session import materialise
 
 WINDOW = 10
@@ -237,9 +237,10 @@ def scan(docs: DataFrame, items: DataFrame, text: str = "text") -> DataFrame:
 
 
 def clean(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """``docs`` without the documents that hold a window of an item.
+    """``docs`` without the rows that hold a window of an item.
 
-    A document is told by its id: rows that repeat the id of a contaminated one go with it.
+    A row is told by its id and its text, so clean rows stay where another text under the same id, or
+    without one, is contaminated.
     """
-    hit = scan(docs.select("doc_id", "text"), items).where("n_hit > 0").select(F.col("doc_id").alias("__hit")).distinct()
-    return docs.join(hit, docs["doc_id"].eqNullSafe(hit["__hit"]), "left_anti")
+    hit = scan(docs.select(row_key().alias("doc_id"), "text"), items).where("n_hit > 0").select(F.col("doc_id").alias("__hit")).distinct()
+    return docs.join(hit, row_key() == hit["__hit"], "left_anti")

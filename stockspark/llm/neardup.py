@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stockspark.llm.common import mix64, small_batches
+from stockspark.llm.common import mix64, row_key, small_batches
 from stockspark.llm.contamination import shingle_hashes, word_hashes, words_of
 from stockspark.session import materialise
 
@@ -39,6 +39,8 @@ SIMILARITY = 0.8
 SKETCHES = 16
 LENGTH = 3
 CENTRES = 6
+# A text with a word of ``words_of``: any character but ASCII signs and blanks.
+WORDED = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
 _STEPS = 1 << 16
 
 _factors = mix64(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
@@ -106,16 +108,16 @@ def aligned(a: np.ndarray, b: np.ndarray, least: float = SIMILARITY) -> float:
 
 
 def sketched(docs: DataFrame) -> DataFrame:
-    """(doc_id, node, keys): digest of the words and sketch values; null for texts without words."""
+    """(doc_id, row, node, keys): row key, digest of the words and sketch values; null for texts without words."""
     from stockspark.llm.contamination import id_type
 
     small_batches(docs.sparkSession)
-    schema = pa.schema([("doc_id", id_type(docs, "doc_id")), ("node", pa.binary()), ("keys", pa.list_(pa.int64()))])
+    schema = pa.schema([("doc_id", id_type(docs, "doc_id")), ("row", pa.string()), ("node", pa.binary()), ("keys", pa.list_(pa.int64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             nodes, keys = [], []
-            for text in batch.column(1).to_pylist():
+            for text in batch.column(2).to_pylist():
                 words = words_of(text)
                 if words:
                     nodes.append(digest_of(words))
@@ -124,11 +126,11 @@ def sketched(docs: DataFrame) -> DataFrame:
                     nodes.append(None)
                     keys.append(None)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).cast(schema.field(0).type), pa.array(nodes, pa.binary()), pa.array(keys, pa.list_(pa.int64()))], schema=schema
+                [batch.column(0).cast(schema.field(0).type), batch.column(1).cast(pa.string()), pa.array(nodes, pa.binary()), pa.array(keys, pa.list_(pa.int64()))], schema=schema
             )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, node binary, keys array<bigint>")
+    return docs.select("doc_id", row_key().alias("row"), "text").mapInArrow(run, f"doc_id {kind}, row string, node binary, keys array<bigint>")
 
 
 def digest_of(words: list[bytes]) -> bytes:
@@ -136,7 +138,7 @@ def digest_of(words: list[bytes]) -> bytes:
 
 
 def words_of_nodes(docs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """(node, words): 64-bit word hashes as bytes, for the texts in ``nodes`` (node, doc_id)."""
+    """(node, words): 64-bit word hashes as bytes, for the texts in ``nodes`` (node, row)."""
     schema = pa.schema([("node", pa.binary()), ("words", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -149,7 +151,7 @@ def words_of_nodes(docs: DataFrame, nodes: DataFrame) -> DataFrame:
                     made.append((word_hashes(words) >> np.uint64(32)).astype("<u4").tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(nodes_, pa.binary()), pa.array(made, pa.binary())], schema=schema)
 
-    texts = docs.select("doc_id", "text").join(nodes.select(F.col("doc_id").alias("__of"), "node"), F.col("doc_id") == F.col("__of"))
+    texts = docs.select(row_key().alias("row"), "text").join(nodes.select("row", "node"), "row")
     return texts.select("node", "text").mapInArrow(run, "node binary, words binary")
 
 
@@ -203,17 +205,16 @@ def degrees(links: DataFrame) -> DataFrame:
     return links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("links"))
 
 
-def find(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
-    """(doc_id, class_id, copies, links): one row for each row of ``docs``.
+def solved(docs: DataFrame, least: float = SIMILARITY) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The rows (doc_id, row, node), the texts (node, doc_id, row, copies, label) and the links (a, b).
 
-    ``class_id`` is the smallest id of the class, ``copies`` the number of rows with the same words,
-    ``links`` the number of links found to other texts. Texts without words (null and empty ones) are
-    classes of their own; exact copies share a class whatever their length; a null id is passed over
-    where the class has another. An empty table stays empty.
+    The id and row key of a text are those of its row with the lowest id; a null id comes last.
     """
     rows = materialise(sketched(docs), "sketches")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("of")
     texts = materialise(
-        rows.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("copies"), F.first("keys").alias("keys")),
+        rows.where("node is not null").groupBy("node").agg(first, F.count("*").alias("copies"), F.first("keys").alias("keys"))
+        .select("node", "of.doc_id", "of.row", "copies", "keys"),
         "texts",
     )
     exploded = texts.select("node", F.explode("keys").alias("key"))
@@ -252,9 +253,21 @@ def find(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
         links = links.unionByName(more)
         labels = classes(links)
 
-    classed = texts.select("node", "doc_id", "copies").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    classed = texts.select("node", "doc_id", "row", "copies").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    return rows, classed, links
+
+
+def find(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
+    """(doc_id, class_id, copies, links): one row for each row of ``docs``.
+
+    ``class_id`` is the smallest id of the class, ``copies`` the number of rows with the same words,
+    ``links`` the number of links found to other texts. Texts without words (null and empty ones) are
+    classes of their own; exact copies share a class whatever their length; a null id is passed over
+    where the class has another. An empty table stays empty.
+    """
+    rows, classed, links = solved(docs, least)
     lowest = classed.groupBy("label").agg(F.min("doc_id").alias("class_id"))
-    per_text = classed.join(lowest, "label").join(degrees(links), "node", "left").select(
+    per_text = classed.select("node", "copies", "label").join(lowest, "label").join(degrees(links), "node", "left").select(
         "node", "class_id", "copies", F.coalesce("links", F.lit(0)).alias("links")
     )
     return rows.select("doc_id", "node").join(per_text, "node", "left").select(
@@ -266,7 +279,12 @@ def find(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
 
 
 def deduplicate(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
-    """``docs`` with the lowest id of each class; of rows that repeat that id one stays."""
-    kept = find(docs.select("doc_id", "text"), least).where(F.col("doc_id").eqNullSafe(F.col("class_id")))
-    kept = kept.select(F.col("doc_id").alias("__kept")).distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["__kept"]), "left_semi").dropDuplicates(["doc_id"])
+    """``docs`` with one row of each class, that of the lowest id; texts without words all stay.
+
+    Rows are told by id and text, so different texts under one id, or without one, are all judged.
+    """
+    _, classed, _ = solved(docs.select("doc_id", "text"), least)
+    kept = classed.groupBy("label").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("of")).select(F.col("of.row").alias("__kept"))
+    worded = F.coalesce(F.col("text"), F.lit("")).rlike(WORDED)
+    one = docs.where(worded).withColumn("__row", row_key()).join(kept, F.col("__row") == kept["__kept"], "left_semi").dropDuplicates(["__row"]).drop("__row")
+    return one.unionByName(docs.where(~worded))

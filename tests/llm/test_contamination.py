@@ -54,3 +54,11 @@ def test_clean_keeps_all_columns(spark):
     df = frame(spark, [(1, "a b c d"), (2, "e f g"), (None, "a b c")], clash=("row",))
     kept = contamination.clean(df, spark.createDataFrame([(1, "b c")], "item_id bigint, text string"))
     assert kept.columns == df.columns and [r["doc_id"] for r in kept.collect()] == [2]
+
+
+def test_clean_rows_stay_beside_contaminated_ones_of_the_same_id(spark):
+    item = "one two three four five six seven eight nine ten"
+    rows = [(None, f"x {item} y"), (None, "clean and without an id"), (5, item), (5, "clean under a repeated id"), (6, None)]
+    items = spark.createDataFrame([(1, item)], "item_id bigint, text string")
+    kept = {(r["doc_id"], r["text"]) for r in contamination.clean(frame(spark, rows), items).collect()}
+    assert kept == {rows[1], rows[3], rows[4]}

@@ -67,6 +67,20 @@ def test_awkward_rows(spark):
     assert sorted(r["doc_id"] for r in kept if r["doc_id"] is not None) == [-3, 0, 1, 2, 3, 4, 5, 6, 7] and len(kept) == 10
 
 
+def test_rows_without_id_or_of_one_id_are_judged_by_their_texts(spark):
+    draw = random.Random(8)
+    text = lambda: [f"w{draw.randrange(10**6)}" for _ in range(80)]
+    alone, same, copied = [text() for _ in range(6)], [text() for _ in range(4)], text()
+    near = [text() for _ in range(2)]
+    rows = [(None, " ".join(t)) for t in alone] + [(7, " ".join(t)) for t in same]
+    rows += [(3, " ".join(copied)), (None, " ".join(copied)), (None, " ".join(copied[:-1]))]
+    rows += [(None, " ".join(t[:k])) for t in near for k in (80, 79)] + [(None, None), (None, "?!")]
+    kept = [(r["doc_id"], r["text"]) for r in neardup.deduplicate(frame(spark, rows)).collect()]
+    assert set(rows[:11]) <= set(kept) and {(None, None), (None, "?!")} <= set(kept)
+    assert len(kept) == 11 + 2 + 2
+    assert sum(t is not None and t.split()[0] == near[0][0] for _, t in kept) == 1
+
+
 def test_empty_table(spark):
     assert neardup.find(frame(spark, [])).count() == 0
 
