@@ -14,7 +14,10 @@ common ordered run of shingles, aligned within a band, makes up SIMILARITY of al
    smallest label along links until nothing changes.
 4. In buckets that still hold several classes, CENTRES drawn members and the one with most links become
    centres for the members of other classes, round after round, until a round finds no further link. The
-   pairs of a round stay in proportion to the members; small buckets are soon compared in full.
+   pairs of a round stay in proportion to the members.
+5. The rounds join the large classes; what they leave is settled exactly. The texts of the buckets that are
+   still mixed meet on the rare shingles of their prefixes (``remaining``), so that every pair of differing
+   classes in a bucket is verified or excluded by a bound on its shared shingles.
 
 Intermediate tables are written to the shared folder, so lineage is short and executors may be lost.
 """
@@ -42,6 +45,7 @@ CENTRES = 6
 # A text with a word of ``words_of``: any character but ASCII signs and blanks.
 WORDED = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
 _STEPS = 1 << 16
+LEVEL_BITS = 20
 
 _factors = mix64(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
 
@@ -164,16 +168,13 @@ def verified(pairs: DataFrame, words: DataFrame, least: float = SIMILARITY) -> D
     )
     schema = pa.schema([("a", pa.binary()), ("b", pa.binary()), ("similarity", pa.float64())])
 
-    def labels(data: bytes) -> np.ndarray:
-        return labelled_shingles(mix64(np.frombuffer(data, dtype="<u4").astype(np.uint64)))
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             kept, last = [], (None, None)
             for a, b, wa, wb in zip(*(c.to_pylist() for c in batch.columns)):
                 if last[0] != b:
-                    last = (b, labels(wb))
-                found = aligned(labels(wa), last[1], least)
+                    last = (b, shingles_of(wb))
+                found = aligned(shingles_of(wa), last[1], least)
                 if found >= least:
                     kept.append((a, b, found))
             columns = list(zip(*kept)) or [[], [], []]
@@ -205,6 +206,86 @@ def degrees(links: DataFrame) -> DataFrame:
     return links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("links"))
 
 
+def levels(opened: DataFrame) -> np.ndarray:
+    """How common the shingles of the texts are: rounded-up binary logarithms of counts in 2**LEVEL_BITS cells.
+
+    The table has a fixed size, as has each task's part of it; a cell of one occurrence has level 0.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(1 << LEVEL_BITS, dtype=np.int64)
+        for batch in batches:
+            for words in batch.column(0).to_pylist():
+                cells, n = np.unique(shingles_of(words) >> np.uint64(64 - LEVEL_BITS), return_counts=True)
+                total[cells.astype(np.int64)] += n
+        cells = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(cells), pa.array(total[cells])], schema=pa.schema([("cell", pa.int64()), ("n", pa.int64())]))
+
+    counts = opened.select("words").mapInArrow(run, "cell bigint, n bigint").groupBy("cell").agg(F.sum("n").alias("n"))
+    packed = counts.groupBy(F.shiftright("cell", 3).alias("at")).agg(
+        F.bit_or(F.expr("shiftleft(cast(ceil(log2(n)) as bigint), cast(8 * (cell & 7) as int))")).alias("v")
+    )
+    out = np.zeros(1 << (LEVEL_BITS - 3), dtype="<i8")
+    for at, v in packed.collect():
+        out[at] = v
+    return out.view(np.uint8)
+
+
+def shingles_of(words: bytes) -> np.ndarray:
+    return labelled_shingles(mix64(np.frombuffer(words, dtype="<u4").astype(np.uint64)))
+
+
+def prefix_rows(opened: DataFrame, common: np.ndarray, least: float) -> DataFrame:
+    """(h, node, label, size, place, inner): the rarest shingles of each text, in one order for all texts.
+
+    The first shared shingle of a pair with similarity ``least`` lies among the first size - ceil(least * size)
+    + 1 of both, and in the smaller text among the ``inner`` first ones, size - ceil(2 * least / (1 + least) *
+    size) + 1. Shingles that occur nowhere else are left out after that count.
+    """
+    schema = pa.schema([("h", pa.int64()), ("node", pa.binary()), ("label", pa.binary()), ("size", pa.int32()), ("place", pa.int32()), ("inner", pa.bool_())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made: list[list[np.ndarray]] = [[] for _ in range(5)]
+            for row, words in enumerate(batch.column(2).to_pylist()):
+                found = shingles_of(words)
+                n = len(found)
+                level = common[(found >> np.uint64(64 - LEVEL_BITS)).astype(np.int64)]
+                outer = n - int(np.ceil(least * n - 1e-9)) + 1
+                order = np.lexsort((found, level))[:outer]
+                place = np.flatnonzero(level[order] > 0)
+                inner = n - int(np.ceil(2 * least / (1 + least) * n - 1e-9)) + 1
+                for column, values in zip(made, (found[order[place]].view(np.int64), np.full(len(place), row), np.full(len(place), n), place, place < inner)):
+                    column.append(values)
+            if made[0]:
+                h, rows, size, place, inside = (np.concatenate(c) for c in made)
+                take = pa.array(rows)
+                arrays = [pa.array(h), batch.column(0).take(take), batch.column(1).take(take), pa.array(size.astype(np.int32)), pa.array(place.astype(np.int32)), pa.array(inside)]
+                yield pa.RecordBatch.from_arrays([a.cast(f.type) for a, f in zip(arrays, schema)], schema=schema)
+
+    return opened.select("node", "label", "words").mapInArrow(run, "h bigint, node binary, label binary, size int, place int, inner boolean")
+
+
+def remaining(opened: DataFrame, least: float = SIMILARITY) -> DataFrame:
+    """All pairs (a, b) of texts (node, label, words) with different labels that may reach ``least``.
+
+    Texts meet on the shingles of their prefixes. Of each shingle the members of its most frequent label
+    are met by those of other labels only, so a large class costs no pairs with itself. What a pair can
+    still share after its meeting place bounds its similarity, and pairs below it never leave the join.
+    """
+    rows = prefix_rows(opened, levels(opened), least)
+    by_label = rows.groupBy("h", "label").agg(F.count("*").alias("n"))
+    mixed = by_label.groupBy("h").agg(F.max(F.struct("n", "label")).alias("top"), F.count("*").alias("labels")).where("labels > 1")
+    met = materialise(rows.join(mixed.select("h", F.col("top.label").alias("top")), "h").withColumn("lesser", F.col("label") != F.col("top")).drop("top"), "prefixes")
+    x = met.where("lesser").select("h", *[F.col(c).alias(f"x_{c}") for c in ("node", "label", "size", "place", "inner")])
+    y = met.select("h", *[F.col(c).alias(f"y_{c}") for c in ("node", "label", "size", "place", "inner")])
+    smaller = F.when(F.col("x_size") > F.col("y_size"), F.col("y_inner")).when(F.col("x_size") < F.col("y_size"), F.col("x_inner")).otherwise(F.col("x_inner") & F.col("y_inner"))
+    need = F.lit(least / (1 + least)) * (F.col("x_size") + F.col("y_size")) - F.lit(1e-6)
+    left = F.least(F.col("x_size") - F.col("x_place"), F.col("y_size") - F.col("y_place"))
+    pairs = x.join(y, (x["h"] == y["h"]) & (F.col("x_label") != F.col("y_label")) & smaller & (left >= need))
+    return pairs.select(F.greatest("x_node", "y_node").alias("a"), F.least("x_node", "y_node").alias("b")).distinct()
+
+
 def solved(docs: DataFrame, least: float = SIMILARITY) -> tuple[DataFrame, DataFrame, DataFrame]:
     """The rows (doc_id, row, node), the texts (node, doc_id, row, copies, label) and the links (a, b).
 
@@ -253,6 +334,15 @@ def solved(docs: DataFrame, least: float = SIMILARITY) -> tuple[DataFrame, DataF
         links = links.unionByName(more)
         labels = classes(links)
 
+    # The last round found no link, so its labels and mixed buckets still hold.
+    members = placed.join(mixed.select("key"), "key").select("node", "label").distinct()
+    opened = materialise(words.join(members, "node").select("node", "label", "words"), "opened")
+    rest = materialise(remaining(opened, least).join(tried.unionByName(fresh), ["a", "b"], "left_anti"), "pairs")
+    more = materialise(verified(rest, words, least), "links")
+    if more.limit(1).count():
+        links = links.unionByName(more)
+        labels = classes(links)
+
     classed = texts.select("node", "doc_id", "row", "copies").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     return rows, classed, links
 

@@ -67,6 +67,25 @@ def test_awkward_rows(spark):
     assert sorted(r["doc_id"] for r in kept if r["doc_id"] is not None) == [-3, 0, 1, 2, 3, 4, 5, 6, 7] and len(kept) == 10
 
 
+def planted(n, pairs, seed=5):
+    """Texts of 200 shingles that share a passage of 170, and near copies of some of them."""
+    draw = random.Random(seed)
+    words = lambda k: [f"w{draw.randrange(10**8)}" for _ in range(k)]
+    passage, rows = words(174), []
+    for i in range(n):
+        own = words(30)
+        rows.append((2 * i, " ".join(passage + own)))
+        if i < pairs:
+            rows.append((2 * i + 1, " ".join(passage + own[:12] + words(18))))
+    return rows
+
+
+def test_near_copies_inside_a_hot_bucket(spark):
+    rows = planted(600, 60)
+    got = {r["doc_id"]: r["class_id"] for r in neardup.find(frame(spark, rows)).collect()}
+    assert got == {i: i - i % 2 for i, _ in rows}
+
+
 def test_rows_without_id_or_of_one_id_are_judged_by_their_texts(spark):
     draw = random.Random(8)
     text = lambda: [f"w{draw.randrange(10**6)}" for _ in range(80)]
