@@ -2,7 +2,8 @@
 
 Base patterns (assignments, access keys, long hexadecimal runs) are found with their positions. Every
 other long token is put to a battery of randomness tests within its inferred encoding: chi-squared
-uniformity of its alphabet, the runs test and the lag-one serial correlation. Its p-value is small
+uniformity of its alphabet, the runs test and the lag-one serial correlation; a token without digits also
+to a test whether its letters follow each other as in prose. Its p-value is small
 where the token has structure. Tokens are dismissed as structured by the step-up rule of false
 discovery control over all tokens of the corpus, with weights that grow with the length, as longer
 tokens give the tests more power; what is not dismissed is reported as ``random``.
@@ -43,6 +44,23 @@ ENCODINGS = (
     ("base64", r"^[A-Za-z0-9+/_-]+=*$", UPPER + LOWER + DIGITS + "+/-_"),
 )
 
+# For each letter and the next one, how much more often they occur in English prose than in random
+# letters, on a logarithmic scale of ten steps; rows are the first letters.
+BIGRAMS = (
+    "06750240603879050989441150703090007809006207519000808050900860580090050970000075369310900412820366624030"
+    "62785630500569354987043640702176009005019208388000507131924880063854086670200090009000800010800316000000"
+    "56845650000659930498050001402090001000004100007000007340932090043645038550501080169400900801720066711070"
+    "96109000700050880064600000717983806004238100895400502657283020156936095775500090039002600800870928600070"
+    "10000000000000000000900000925592509052658306774230607162930680042376018970204070319109900310810766404050"
+    "66657140600888160899000000900090009000005000000000009000700990030590054200200080919103700011390039000350"
+    "7454541170034699078822602191009400900020420031000050"
+)
+_steps = [[int(BIGRAMS[26 * a + b]) for b in range(26)] for a in range(26)]
+_mean = sum(map(sum, _steps)) / 676
+_variance = sum((x - _mean) ** 2 for row in _steps for x in row) / 676
+# Neighbouring pairs share a letter.
+_shared = sum((sum(row[k] for row in _steps) / 26 - _mean) * (sum(_steps[k]) / 26 - _mean) for k in range(26)) / 26
+
 RATE = 0.05
 MIN_BITS = 96.0
 BINS = 400
@@ -130,21 +148,45 @@ def battery(token: Column) -> Column:
     return F.transform(F.array(F.struct(alphabet_of(token).alias("a"), body.alias("b"))), lambda z: tests(z["a"], z["b"]))[0]
 
 
+def prose(token: Column) -> Column:
+    """p-value of the letters of the token under a random choice, against letters that follow as in prose."""
+
+    def tail(letters: Column) -> Column:
+        n = F.char_length(letters)
+        code = lambda i: F.ascii(F.substr(letters, i, F.lit(1))) - 97
+        total = F.aggregate(
+            F.sequence(F.lit(1), n - 1), F.lit(0.0),
+            lambda acc, i: acc + F.ascii(F.substr(F.lit(BIGRAMS), code(i) * 26 + code(i + 1) + 1, F.lit(1))) - 48,
+        )
+        z = (total - (n - 1) * _mean) / F.sqrt((n - 1) * _variance + (n - 2) * 2 * _shared)
+        return F.when(n < 5, F.lit(1.0)).when(z > 0, two_sided(z) / 2).otherwise(1 - two_sided(z) / 2)
+
+    return F.transform(F.array(F.regexp_replace(F.lower(token), "[^a-z]", "")), tail)[0]
+
+
+def evidence(token: Column) -> Column:
+    """The battery; a token without digits is put to the test of its letters, too."""
+    digits = token.rlike("[0-9]")
+    return F.least(F.lit(1.0), battery(token) * F.when(digits, 1.0).otherwise(4 / 3), F.when(digits, 1.0).otherwise(prose(token) * 4))
+
+
 def bits(token: Column) -> Column:
     return F.char_length(token) * F.log2(F.char_length(alphabet_of(token)).cast("double"))
 
 
 def tested(text: Column) -> Column:
-    """Tokens with (s, e, token, p): p is divided by the weight of the token's length.
+    """Tokens with (s, e, token, p, wordy): p is divided by the weight of the token's length.
 
-    Tokens of letters alone are words run together far more often than keys, and are left out.
+    Tokens without digits (``wordy``) are words run together far more often than keys; they have a step-up
+    rule of their own, so neither kind moves the threshold of the other.
     """
-    long_enough = F.filter(located(text, TOKEN), lambda m: m["token"].rlike("[0-9]") & (bits(m["token"]) >= MIN_BITS))
+    long_enough = F.filter(located(text, TOKEN), lambda m: bits(m["token"]) >= MIN_BITS)
     return F.transform(
         long_enough,
         lambda m: F.struct(
             m["s"].alias("s"), m["e"].alias("e"), m["token"].alias("token"),
-            (battery(m["token"]) * F.lit(TYPICAL_LENGTH) / F.greatest(F.lit(1.0), F.char_length(m["token"]).cast("double"))).alias("p"),
+            (evidence(m["token"]) * F.lit(TYPICAL_LENGTH) / F.greatest(F.lit(1.0), F.char_length(m["token"]).cast("double"))).alias("p"),
+            (~m["token"].rlike("[0-9]")).alias("wordy"),
         ),
     )
 
@@ -153,17 +195,19 @@ def p_bin(p: Column) -> Column:
     return F.least(F.lit(BINS), F.greatest(F.lit(0), F.floor(-F.log10(F.greatest(p, F.lit(1e-300))) * BINS_PER_DECADE))).cast("int")
 
 
-def dismissal_bin(docs: DataFrame, rate: float = RATE) -> int:
-    """The lowest bin whose tokens are dismissed as structured; BINS + 1 where none is.
+def dismissal_bins(docs: DataFrame, rate: float = RATE) -> tuple[int, int]:
+    """The lowest bins whose tokens with digits and without are dismissed as structured; BINS + 1 where none is.
 
     Step-up rule over the bins: of m tokens, k have a p-value up to the bin's largest one; the
     bin and all below it in p are dismissed where that value is at most rate * k / m.
     """
     body = F.coalesce(F.col("text"), F.lit(""))
-    rows = (
-        docs.select(tested(body).alias("t")).select(F.explode("t.p").alias("p")).groupBy(p_bin(F.col("p")).alias("b")).count().collect()
-    )
-    counts = {r[0]: r[1] for r in rows}
+    tokens = docs.select(tested(body).alias("t")).select(F.explode("t").alias("t"))
+    rows = tokens.groupBy(F.col("t.wordy").alias("wordy"), p_bin(F.col("t.p")).alias("b")).count().collect()
+    return tuple(lowest_bin({r["b"]: r["count"] for r in rows if r["wordy"] == wordy}, rate) for wordy in (False, True))
+
+
+def lowest_bin(counts: dict[int, int], rate: float) -> int:
     total, below, found = sum(counts.values()), 0, BINS + 1
     for b in range(BINS, -1, -1):
         below += counts.get(b, 0)
@@ -189,7 +233,7 @@ def find(docs: DataFrame, keep: Sequence[str] = ("doc_id",), rate: float = RATE)
     A null text counts as empty and has none. Base spans of different kinds may overlap; a random
     token that overlaps a base span is left out. Repeated rows are scanned alike.
     """
-    dismissed = dismissal_bin(docs, rate)
+    dismissed, dismissed_wordy = dismissal_bins(docs, rate)
     body = docs.select(*keep, F.coalesce(F.col("text"), F.lit("")).alias("__body"))
     text = F.col("__body")
     found = body.select(
@@ -197,7 +241,7 @@ def find(docs: DataFrame, keep: Sequence[str] = ("doc_id",), rate: float = RATE)
         as_spans(located(text, ASSIGN, group=2, least=6), "assign").alias("assign"),
         as_spans(located(text, ACCESS, least=20), "access").alias("access"),
         as_spans(located(text, HEX), "hex").alias("hex"),
-        F.filter(tested(text), lambda m: p_bin(m["p"]) < dismissed).alias("__tokens"),
+        F.filter(tested(text), lambda m: p_bin(m["p"]) < F.when(m["wordy"], dismissed_wordy).otherwise(dismissed)).alias("__tokens"),
     ).withColumn("base", F.concat("assign", "access", "hex"))
     clear = F.filter(
         as_spans(F.col("__tokens"), "random"), lambda m: ~F.exists("base", lambda b: (b["s"] < m["e"]) & (m["s"] < b["e"]))

@@ -53,6 +53,17 @@ def test_random_tokens_are_found_and_words_are_not(spark):
     assert sum(got[i] for i in range(30, len(rows))) == 0
 
 
+def test_keys_of_letters_alone_are_found_beside_words_run_together(spark):
+    draw = random.Random(12)
+    lower = "abcdefghijklmnopqrstuvwxyz"
+    keys = ["".join(draw.choice(a) for _ in range(28)) for a in (lower, lower.upper(), lower + lower.upper()) for _ in range(20)]
+    words = "there which would people another through because between government information should before little general without against".split()
+    joined = ["".join(draw.sample(words, 4)) for _ in range(40)] + ["Licenses-and_some/other_paths/of/files", "-" * 40, "getTheNameOfThisElementFromList"]
+    got = {r["doc_id"]: r["n_random"] for r in secrets.find(frame(spark, list(enumerate(keys + joined)))).collect()}
+    assert sum(got[i] for i in range(60)) >= 54
+    assert sum(got[i] for i in range(60, len(keys + joined))) == 0
+
+
 def test_p_values_are_even_for_random_tokens(spark):
     draw = random.Random(3)
     tokens = [("".join(draw.choice("0123456789abcdef") for _ in range(64)),) for _ in range(800)]
