@@ -20,7 +20,7 @@ from stockspark.operators.forecasts import (
     smoothing,
 )
 from stockspark.operators.splits import split_by_date, split_last_n, split_ratio, split_stratified
-from stockspark.operators.trees import KINDS
+from stockspark.operators.trees import BOOSTED, FOREST, KINDS
 from stockspark.plans import derived
 from stockspark.plans.regression import compare_trees
 from stockspark.plans.series import compare_series, forecast_ahead
@@ -109,12 +109,8 @@ def future_plain_models(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pooled_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The three pooled tree models, small settings of the same kinds, scored on the last year."""
-    configs = {
-        KINDS[0]: {"numTrees": 20, "maxDepth": 8},
-        KINDS[1]: {"maxIter": 10, "maxDepth": 5},
-        KINDS[2]: {"maxIter": 10, "maxDepth": 5},
-    }
+    """The three pooled tree models with the operator's own settings, scored on the last year."""
+    configs = {KINDS[0]: FOREST, KINDS[1]: BOOSTED, KINDS[2]: BOOSTED}
     return compare_trees(inputs.featured(spark, sf_dir), configs, inputs.STAMP)
 
 
