@@ -6,12 +6,15 @@ coefficient of ``least`` a passage of m bigrams needs a template of n with
 least / (2 - least) <= m / n <= (2 - least) / least, so runs stop growing at the upper bound, and only
 runs that begin and end with a sentence holding a bigram of the template are tried. All others have
 nothing to gain: a sentence without shared bigrams at either end lowers the coefficient.
+Where no run matches, windows of words are compared in the same way, so a notice inside a longer sentence
+or across lines is found, too.
 
 Scanning is row by row in Arrow batches; templates are a parameter of known size.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
 
@@ -25,30 +28,77 @@ LEAST = 0.75
 # Public licence notices.
 TEMPLATES = {
     "MIT": (
+        'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:',
         "Released under the MIT License.",
         "Licensed under the MIT License.",
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
         "documentation files (the \"Software\"), to deal in the Software without restriction.",
     ),
     "Apache-2.0": (
+        'Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.',
         "Licensed under the Apache License, Version 2.0.",
         "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License.",
     ),
-    "GPL-2.0": ("This work is licensed under the GNU General Public License, version 2.",),
+    "GPL-2.0": (
+        "This work is licensed under the GNU General Public License, version 2.",
+        'This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 2 of the License, or (at your option) any later version.',
+    ),
     "GPL-3.0": (
         "This work is licensed under the GNU General Public License, version 3.",
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public "
         "License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
     ),
-    "LGPL-3.0": ("This work is licensed under the GNU Lesser General Public License, version 3.",),
+    "LGPL-3.0": (
+        "This work is licensed under the GNU Lesser General Public License, version 3.",
+        'This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.',
+    ),
     "BSD-3-Clause": (
+        'Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.',
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
         "following conditions are met.",
     ),
-    "MPL-2.0": ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",),
+    "MPL-2.0": (
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
+        'This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.',
+    ),
     "CC-BY-4.0": ("Licensed under CC BY 4.0.", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
-    "CC-BY-SA-4.0": ("Licensed under CC BY-SA 4.0.",),
-    "CC-BY-NC-4.0": ("Licensed under CC BY-NC 4.0.",),
+    "CC-BY-SA-4.0": (
+        "Licensed under CC BY-SA 4.0.",
+        'This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.',
+    ),
+    "CC-BY-NC-4.0": (
+        "Licensed under CC BY-NC 4.0.",
+        'This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.',
+    ),
+    "CC-BY-NC-SA-4.0": (
+        'Licensed under CC BY-NC-SA 4.0.',
+        'This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License.',
+    ),
+    "CC-BY-ND-4.0": (
+        'Licensed under CC BY-ND 4.0.',
+        'This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License.',
+    ),
+    "CC-BY-NC-ND-4.0": (
+        'Licensed under CC BY-NC-ND 4.0.',
+        'This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License.',
+    ),
+    "AGPL-3.0": (
+        'This work is licensed under the GNU Affero General Public License, version 3.',
+        'This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.',
+    ),
+    "LGPL-2.1": (
+        'This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 2.1 of the License, or (at your option) any later version.',
+    ),
+    "ISC": (
+        'Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.',
+    ),
+    "EPL-2.0": (
+        'This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0/',
+    ),
+    "Unlicense": (
+        'This is free and unencumbered software released into the public domain.',
+        'Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.',
+    ),
     "CC0-1.0": ("Released into the public domain under CC0 1.0.",),
 }
 
@@ -117,8 +167,46 @@ class Templates:
         for value, s, e, name in sorted(found):
             if not any(s < b and a < e for _, a, b, _ in chosen):
                 chosen.append((name, s, e, -value))
+        for value, s, e, name in sorted(self.windows(text)):
+            if not any(s < b and a < e for _, a, b, _ in chosen):
+                chosen.append((name, s, e, -value))
         return sorted(chosen, key=lambda c: c[1])
 
+    def windows(self, text: str) -> list[tuple[float, int, int, str]]:
+        """(-coefficient, start, end, licence) of word windows that match, wherever sentences or lines break.
+
+        A window begins and ends with a bigram of the template; one that reaches ``least`` shares at least
+        the lower size bound, so starts with fewer bigrams of the template ahead of them are passed over.
+        """
+        spans = [(m.start(), m.end(), m[0].lower()) for m in _WORD.finditer(text)]
+        pairs = [(a[2], b[2]) for a, b in zip(spans, spans[1:])]
+        hits: dict[int, list[int]] = {}
+        for i, pair in enumerate(pairs):
+            for k in self.where.get(pair, ()):
+                hits.setdefault(k, []).append(i)
+        found = []
+        for k, at in hits.items():
+            (name, bag), size = self.bags[k], self.sizes[k]
+            low, high = size * self.least / (2 - self.least), size * (2 - self.least) / self.least
+            ahead = math.ceil(low - 1e-9) - 1
+            for x in range(len(at) - ahead):
+                if at[x + ahead] - at[x] + 1 > high:
+                    continue
+                mine: Counter = Counter()
+                shared = 0
+                for y in range(x, len(at)):
+                    length = at[y] - at[x] + 1
+                    if length > high:
+                        break
+                    pair = pairs[at[y]]
+                    if mine[pair] < bag[pair]:
+                        mine[pair] += 1
+                        shared += 1
+                    value = 2 * shared / (length + size)
+                    if value >= self.least:
+                        found.append((-value, spans[at[x]][0], spans[at[y] + 1][1], name))
+        return found
+
 
 def find(docs: DataFrame, templates: Templates | None = None, text: str = "text") -> DataFrame:
     """``docs`` with __licences, an array of (licence, s, e, dice) by start.

@@ -110,6 +110,18 @@ def test_licences_against_all_runs():
         assert scanner.scan(text) == plain_licences(text), text[:90]
 
 
+def test_licences_inside_longer_sentences_and_of_more_kinds():
+    scan = licences.Templates().scan
+    names = lambda text: [f[0] for f in scan(text)]
+    grant = next(t for t in licences.TEMPLATES["MIT"] if "sublicense" in t)
+    inside = "as the old readme of this project said to all its users long ago " + licences.TEMPLATES["MPL-2.0"][0][:-1] + " and so it has stayed since then for every file that we keep"
+    assert names(grant) == ["MIT"] and names(inside) == ["MPL-2.0"]
+    assert inside[slice(*scan(inside)[0][1:3])].startswith("This Source Code Form")
+    assert names("Licensed under CC BY-NC-SA 4.0.") == ["CC-BY-NC-SA-4.0"]
+    for name in ("AGPL-3.0", "ISC", "EPL-2.0", "Unlicense", "LGPL-2.1", "GPL-2.0"):
+        assert names(licences.TEMPLATES[name][-1]) == [name]
+
+
 def test_licence_rows(spark):
     df = frame(spark, [*AWKWARD, (70, "Hello.\nReleased under the MIT License.\n")], clash=("licence", "dice"))
     got = {r["doc_id"]: r["__licences"] for r in licences.find(df).collect()}
