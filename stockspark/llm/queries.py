@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stockspark.llm import contamination, fingerprints, language, licences, mixing, neardup, pii, repeats, secrets, toxicity
+from stockspark.llm import (
+    contamination, fingerprints, grace, language, licences, mixing, neardup, pii, repeats, secrets, squares, toxicity, tries,
+)
 from stockspark.llm.common import fold_of, table
 
 
@@ -91,6 +93,26 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_exact_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return grace.groups(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", squares.planted(F.col("doc_id"), F.col("text")).alias("text"))
+    found = squares.find(docs, digest_only=True)
+    order = F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period")))
+    best = found.withColumn("best", F.array_max(order))
+    return best.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("best.start")).alias("start"), F.col("best.length").alias("length"),
+        (-F.col("best.period")).alias("period"), F.expr("1000 * best.length div -best.period").alias("exponent_milli"),
+        F.sha2(squares.lines(F.col("runs")).cast("binary"), 256).alias("runs_sha256"), F.col("collapsed").alias("collapsed_sha256"),
+    )
+
+
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tries.trie(*tries.rebuilt(table(spark, sf_dir, "conversations")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_personal_data": op1_personal_data,
     "op2_decontamination": op2_decontamination,
@@ -102,6 +124,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_source_mixing": op8_source_mixing,
     "op9_toxicity": op9_toxicity,
     "op10_secret_scan": op10_secret_scan,
+    "op11_exact_duplicates": op11_exact_duplicates,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_conversation_trie": op13_conversation_trie,
 }
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -129,4 +154,50 @@ SELECT d.doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_
 FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN found USING (doc_id)
 """
 
-SQL: dict[str, str] = {"op2_decontamination": OP2_SQL}
+OP11_SQL = """
+WITH n AS (SELECT doc_id, coalesce(text, '') AS body, regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]', '', 'g') AS plain FROM documents)
+SELECT doc_id, first_value(doc_id) OVER best AS keep_id, count(*) OVER (PARTITION BY plain) AS group_size,
+       row_number() OVER best = 1 AS kept, sha256(plain) AS text_sha256
+FROM n WINDOW best AS (PARTITION BY plain ORDER BY length(body) DESC, doc_id)
+"""
+
+# The checksum of a number in decimal: eight shifts for each byte, marked by -1 in the list.
+OP13_SQL = """
+WITH turns AS (
+  SELECT conv_id, list({'mark': md5(concat(length(coalesce(role, '')), ':', coalesce(role, ''), coalesce(text, ''))),
+                        'chars': length(coalesce(text, ''))} ORDER BY turn NULLS FIRST) AS own
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
+),
+heads AS (
+  SELECT conv_id, own, conv_id - conv_id % 100 AS base, xor(4294967295, list_reduce(
+    list_prepend(4294967295, flatten(list_transform(string_split(CAST(conv_id AS VARCHAR), ''),
+      lambda c: [CAST(ord(c) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1]))),
+    lambda crc, x: CASE WHEN x >= 0 THEN xor(crc, x) ELSE xor(crc >> 1, (crc & 1) * 3988292384) END)) % 6 AS h
+  FROM turns
+),
+convs AS (
+  SELECT c.conv_id, list_concat(coalesce(b.own, [])[1 : c.h], c.own[c.h + 1 :]) AS path
+  FROM heads AS c LEFT JOIN turns AS b ON b.conv_id = c.base
+),
+prefixes AS (
+  SELECT conv_id, d AS depth, len(path) AS size, array_to_string(list_transform(path[1 : d], lambda t: t.mark), '') AS key,
+         coalesce(path[d].chars, 0) AS chars, array_to_string(list_transform(path[1 : d - 1], lambda t: t.mark), '') AS parent
+  FROM convs, unnest(range(len(path) + 1)) AS u(d)
+),
+nodes AS (
+  SELECT depth, key, min(parent) AS parent, min(conv_id) AS conv_id, count(*) AS n_convs, min(chars) AS chars,
+         sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (depth = size), '')) AS ends_sha256
+  FROM prefixes GROUP BY depth, key
+),
+kids AS (SELECT depth - 1 AS depth, parent AS key, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY ALL),
+counted AS (SELECT nodes.*, coalesce(n_children, 0) AS n_children FROM nodes LEFT JOIN kids USING (depth, key)),
+below AS (
+  SELECT p.depth, p.key, CAST(sum((u.n_convs - 1) * u.chars) AS BIGINT) AS saved_tokens,
+         CAST(sum(CAST(u.n_children = 0 AS BIGINT)) AS BIGINT) AS n_leaves
+  FROM counted AS u JOIN prefixes AS p ON p.conv_id = u.conv_id AND p.depth <= u.depth GROUP BY p.depth, p.key
+)
+SELECT v.conv_id, v.depth, above.conv_id AS parent_conv_id, v.n_convs, v.n_children, n_leaves, saved_tokens, v.ends_sha256
+FROM counted AS v JOIN below USING (depth, key) LEFT JOIN nodes AS above ON above.depth = v.depth - 1 AND above.key = v.parent
+"""
+
+SQL: dict[str, str] = {"op2_decontamination": OP2_SQL, "op11_exact_duplicates": OP11_SQL, "op13_conversation_trie": OP13_SQL}
