@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.ml import PipelineModel
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -83,9 +84,11 @@ def compare_trees(
         period_label(DATE, F.col("is_test")).alias("Test_Period"),
     )
     train, test = prepared.where(~F.col("is_test")), prepared.where(F.col("is_test"))
-    records = []
-    for kind, settings in configs.items():
-        model: PipelineModel = fit_trees(train, prep.features, target, kind, **settings)
+    spans = spans.first()
+
+    def one(kind: str) -> DataFrame:
+        settings = configs[kind]
+        model = fit_trees(train, prep.features, target, kind, **settings)
         params = dict(settings)
         if save_to:
             params["model_path"] = f"{save_to.rstrip('/')}/{kind}_{stamp.translate(str.maketrans('', '', '- :'))}"
@@ -96,9 +99,13 @@ def compare_trees(
             {
                 "Store": F.lit(GLOBAL_ID),
                 "Dept": F.lit(GLOBAL_ID),
-                "Train_Period": spans.select("Train_Period").scalar(),
-                "Test_Period": spans.select("Test_Period").scalar(),
+                "Train_Period": F.lit(spans["Train_Period"]),
+                "Test_Period": F.lit(spans["Test_Period"]),
             }
         )
-        records.append(forecast_record(scored, F.lit(kind), python_literal(params), stamp, prep.features))
+        return forecast_record(scored, F.lit(kind), python_literal(params), stamp, prep.features)
+
+    # The fits are many small jobs each, so they run beside each other.
+    with ThreadPoolExecutor(len(configs)) as pool:
+        records = list(pool.map(inheritable_thread_target(featured.sparkSession)(one), configs))
     return reduce(DataFrame.unionByName, records)

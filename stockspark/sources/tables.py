@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType, StructType
 
+from stockspark.operators.boosting import BoostedTrees
 from stockspark.checks import require_columns
 from stockspark.functions.coerce import nan_to_null
 
@@ -123,9 +124,16 @@ def latest_artifact(spark: SparkSession, folder: str, prefix: str) -> str | None
     return f"{folder.rstrip('/')}/{max(names)}" if names else None
 
 
-def save_model(model: PipelineModel, path: str) -> None:
-    model.write().overwrite().save(path)
+def save_model(model: PipelineModel | BoostedTrees, path: str) -> None:
+    if isinstance(model, BoostedTrees):
+        model.save(SparkSession.getActiveSession(), path)
+    else:
+        model.write().overwrite().save(path)
 
 
-def load_model(path: str) -> PipelineModel:
-    return PipelineModel.load(path)
+def load_model(path: str) -> PipelineModel | BoostedTrees:
+    """The model stored at ``path``; MLlib's have a folder of stages, boosted trees a table."""
+    spark = SparkSession.getActiveSession()
+    if path_exists(spark, f"{path.rstrip('/')}/stages"):
+        return PipelineModel.load(path)
+    return BoostedTrees.load(spark, path)
