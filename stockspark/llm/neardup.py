@@ -12,12 +12,11 @@ common ordered run of shingles, aligned within a band, makes up SIMILARITY of al
    centre, and each member is paired with it, so a bucket of n gives n - 1 pairs, not n * (n - 1) / 2.
 3. Pairs are verified with the words of both texts, and links are joined into classes by passing on the
    smallest label along links until nothing changes.
-4. In buckets that still hold several classes, CENTRES drawn members and the one with most links become
-   centres for the members of other classes, round after round, until a round finds no further link. The
-   pairs of a round stay in proportion to the members.
-5. The rounds join the large classes; what they leave is settled exactly. The texts of the buckets that are
-   still mixed meet on the rare shingles of their prefixes (``remaining``), so that every pair of differing
-   classes in a bucket is verified or excluded by a bound on its shared shingles.
+4. In buckets that still hold several classes, the member with most links becomes the centre for the members of
+   other classes, once more.
+5. What these two rounds leave is settled exactly. The texts of the buckets that are still mixed meet on the rare
+   shingles of their prefixes (``remaining``), so that every pair of differing classes in a bucket is verified or
+   excluded by a bound on its shared shingles.
 
 Intermediate tables are written to the shared folder, so lineage is short and executors may be lost.
 """
@@ -41,7 +40,6 @@ SHINGLE = 5
 SIMILARITY = 0.8
 SKETCHES = 16
 LENGTH = 3
-CENTRES = 6
 # A text with a word of ``words_of``: any character but ASCII signs and blanks.
 WORDED = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
 _STEPS = 1 << 16
@@ -201,6 +199,19 @@ def classes(links: DataFrame, name: str = "classes") -> DataFrame:
             return labels
 
 
+def merged(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """``labels`` (node, label) after further ``links``: only the classes that these join are passed over."""
+    ends = [links.join(labels.select(F.col("node").alias(c), F.col("label").alias(f"{c}_label")), c, "left") for c in "ab"]
+    one, two = (e.withColumn(f"{c}_label", F.coalesce(f"{c}_label", c)).select("a", "b", f"{c}_label") for e, c in zip(ends, "ab"))
+    met = materialise(one.join(two, ["a", "b"]).select(F.col("a_label").alias("a"), F.col("b_label").alias("b")).where("a <> b").distinct(), "met")
+    if met.limit(1).count() == 0:
+        return labels
+    joined = classes(met, "merged").withColumnRenamed("node", "old").withColumnRenamed("label", "new")
+    fresh = met.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(labels, "node", "left_anti")
+    every = labels.unionByName(fresh.select("node", F.col("node").alias("label")))
+    return materialise(every.join(joined, F.col("label") == F.col("old"), "left").select("node", F.coalesce("new", "label").alias("label")), "classes")
+
+
 def degrees(links: DataFrame) -> DataFrame:
     """(node, links): the number of links of each node that has one."""
     return links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("links"))
@@ -306,42 +317,37 @@ def solved(docs: DataFrame, least: float = SIMILARITY) -> tuple[DataFrame, DataF
     tried = materialise(buckets.where("node <> centre").select(F.col("node").alias("a"), F.col("centre").alias("b")).distinct(), "pairs")
     links = materialise(verified(tried, words, least), "links")
     labels = classes(links)
-    turn = 0
-    while True:
-        turn += 1
-        known = labels.join(degrees(links), "node")
-        placed = buckets.select("key", "node").join(known, "node", "left").select(
+    # One more round, in buckets that hold several classes: the member with most links is the centre.
+    known = labels.join(degrees(links), "node")
+    placed = materialise(
+        buckets.select("key", "node").join(known, "node", "left").select(
             "key", "node", F.coalesce("label", "node").alias("label"), F.coalesce("links", F.lit(0)).alias("links")
-        )
-        # The draws do not depend on the bucket, so that buckets of the same texts share their centres.
-        draws = [F.min(F.struct(F.xxhash64("node", F.lit(turn), F.lit(j)).alias("draw"), "node", "label")) for j in range(CENTRES)]
-        hub = F.max(F.struct("links", F.xxhash64("node", F.lit(turn)).alias("draw"), "node", "label"))
-        draws.append(F.struct(hub["draw"].alias("draw"), hub["node"].alias("node"), hub["label"].alias("label")))
-        mixed = (
-            placed.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.array(*draws).alias("centres"))
-            .where("low <> high").select("key", "centres")
-        )
-        pairs = (
-            placed.join(mixed, "key").select("node", "label", F.explode("centres").alias("c")).where(F.col("label") != F.col("c.label"))
-            .select(F.greatest("node", "c.node").alias("a"), F.least("node", "c.node").alias("b")).distinct()
-            .join(tried, ["a", "b"], "left_anti")
-        )
-        fresh = materialise(pairs, "pairs")
-        more = materialise(verified(fresh, words, least), "links")
-        if more.limit(1).count() == 0:
-            break
-        tried = tried.unionByName(fresh)
-        links = links.unionByName(more)
-        labels = classes(links)
-
-    # The last round found no link, so its labels and mixed buckets still hold.
-    members = placed.join(mixed.select("key"), "key").select("node", "label").distinct()
+        ),
+        "placed",
+    )
+    hub = F.max(F.struct("links", F.xxhash64("node").alias("draw"), "node", "label"))
+    mixed = (
+        placed.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), hub.alias("c"))
+        .where("low <> high").select("key", F.col("c.node").alias("centre"), F.col("c.label").alias("centre_label"))
+    )
+    pairs = (
+        placed.join(mixed, "key").where(F.col("label") != F.col("centre_label"))
+        .select(F.greatest("node", "centre").alias("a"), F.least("node", "centre").alias("b")).distinct()
+    )
+    fresh = materialise(pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
+    more = materialise(verified(fresh, words, least), "links")
+    labels = merged(labels, more)
+    links = links.unionByName(more)
+
+    # What is still mixed is settled exactly.
+    relabelled = placed.select("key", "node").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    still = relabelled.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("key")
+    members = relabelled.join(still, "key").select("node", "label").distinct()
     opened = materialise(words.join(members, "node").select("node", "label", "words"), "opened")
     rest = materialise(remaining(opened, least).join(tried.unionByName(fresh), ["a", "b"], "left_anti"), "pairs")
     more = materialise(verified(rest, words, least), "links")
-    if more.limit(1).count():
-        links = links.unionByName(more)
-        labels = classes(links)
+    labels = merged(labels, more)
+    links = links.unionByName(more)
 
     classed = texts.select("node", "doc_id", "row", "copies").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     return rows, classed, links
