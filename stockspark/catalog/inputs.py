@@ -71,7 +71,8 @@ def trend_only(split: DataFrame) -> DataFrame:
 
 
 def level_only(split: DataFrame) -> DataFrame:
-    return smoothing(split, configs=[(None, None, False)])
+    """The level alone, with weights from the grid, for series with enough history."""
+    return smoothing(split, configs=[(None, None, False)], rounds=0).where("status = 'fitted'")
 
 
 # Forecasters whose results SQL can state as well, under names of their own.

@@ -8,31 +8,18 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stockspark.functions.coerce import nan_to_null
 from stockspark.operators.leastsquares import fitted, grouped_ridge
 from stockspark.operators.series import DATE, KEYS, PERIOD, TARGET, future_dates
+from stockspark.operators.smoothing import ALPHAS, BETAS, DAMPING, GAMMAS, SMOOTHING_CONFIGS, smoothing
 from stockspark.session import by_series
 
-# The smoothing configurations tried (trend, seasonal, damped).
-SMOOTHING_CONFIGS = (
-    ("add", "add", False),
-    ("add", "add", True),
-    ("add", "mul", False),
-    ("add", "mul", True),
-    ("add", None, False),
-    ("add", None, True),
-    ("mul", "mul", False),
-    ("mul", "mul", True),
-    (None, "add", False),
-    (None, "mul", False),
-    (None, None, False),
-)
-ALPHAS, BETAS, GAMMAS, DAMPING = (0.1, 0.4, 0.8), (0.01, 0.1, 0.3), (0.05, 0.2, 0.5), 0.95
-MINIMUM_ROWS = 20
+__all__ = [
+    "ALPHAS", "BETAS", "DAMPING", "GAMMAS", "SMOOTHING_CONFIGS", "ahead_naive", "ahead_seasonal_naive", "ar_regression",
+    "fourier_regression", "naive", "seasonal_naive", "smoothing",
+]
 
 
 def naive(split: DataFrame, keys: Sequence[str] = KEYS, target: str = TARGET, date: str = DATE) -> DataFrame:
@@ -92,100 +79,6 @@ def ahead_seasonal_naive(
     return steps.join(full, [*keys, "_phase"]).select(*keys, "step", date, "yhat")
 
 
-def smoothing(
-    split: DataFrame,
-    period: int = PERIOD,
-    configs: Sequence[tuple] = SMOOTHING_CONFIGS,
-    keys: Sequence[str] = KEYS,
-    target: str = TARGET,
-    date: str = DATE,
-) -> DataFrame:
-    """Exponential smoothing: the best of ``configs`` by test RMSE (train RMSE for future weeks).
-
-    Smoothing weights come from a grid scored on the train rows, not from a likelihood
-    optimiser. Multiplicative parts are skipped where a train value is not positive. Series with
-    fewer than two seasons of train rows are left out. All weights of all configurations of a
-    series advance together as one vector.
-    """
-    import numpy as np
-
-    lanes = []
-    for place, (trend, seasonal, damped) in enumerate(configs):
-        for alpha in ALPHAS:
-            for beta in BETAS if trend else (0.0,):
-                for gamma in GAMMAS if seasonal else (0.0,):
-                    lanes.append((place, alpha, beta, gamma, DAMPING if damped else 1.0))
-    table = np.array(lanes)
-    labels = [f"{t or 'none'}/{s or 'none'}/{'damped' if d else 'plain'}" for t, s, d in configs]
-    trends = np.array([configs[int(r[0])][0] or "" for r in lanes])
-    seasons = np.array([configs[int(r[0])][1] or "" for r in lanes])
-    least = max(2 * period, MINIMUM_ROWS)
-    names = [target, date]
-
-    def fit(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values(names[1])
-        y = frame.loc[~frame["is_test"], names[0]].to_numpy(dtype=float)
-        test = frame[frame["is_test"]].copy()
-        truth = test[names[0]].to_numpy(dtype=float)
-        use = np.ones(len(table), bool)
-        if (y <= 0).any():
-            use = (trends != "mul") & (seasons != "mul")
-        place, alpha, beta, gamma, phi = table[use].T
-        mul_t, add_t = trends[use] == "mul", trends[use] == "add"
-        mul_s, add_s = seasons[use] == "mul", seasons[use] == "add"
-        seasonal = mul_s | add_s
-        first, second = y[:period].mean(), y[period : 2 * period].mean()
-        level = np.where(seasonal, first, y[0])
-        slope = np.where(mul_t, (second / first) ** (1 / period) if first and second / first > 0 else 1.0,
-                         np.where(add_t, (second - first) / period, 0.0))
-        season = np.where(mul_s[:, None], y[None, :period] / (first or 1.0),
-                          np.where(add_s[:, None], y[None, :period] - first, 0.0))
-        season[mul_s == 0] = np.where(add_s[mul_s == 0][:, None], season[mul_s == 0], 0.0)
-        squared = np.zeros(len(alpha))
-        with np.errstate(all="ignore"):
-            for t, value in enumerate(y):
-                s = season[:, t % period]
-                base = np.where(mul_t, level * slope**phi, level + phi * slope)
-                error = value - np.where(mul_s, base * s, base + s)
-                squared += error * error
-                seen = np.where(mul_s, value / s, value - s)
-                fresh = alpha * seen + (1 - alpha) * base
-                slope = np.where(mul_t, beta * fresh / level + (1 - beta) * slope**phi,
-                                 np.where(add_t, beta * (fresh - level) + (1 - beta) * phi * slope, 0.0))
-                moved = np.where(mul_s, value / base, value - base)
-                season[:, t % period] = np.where(seasonal, gamma * moved + (1 - gamma) * s, s)
-                level = fresh
-            steps = np.arange(1, len(truth) + 1)
-            reach = np.cumsum(phi[:, None] ** steps[None, :], axis=1)
-            ahead = np.where(mul_t[:, None], level[:, None] * slope[:, None] ** reach,
-                             level[:, None] + reach * slope[:, None])
-            ahead_s = season[:, (len(y) + steps - 1) % period]
-            ahead = np.where(mul_s[:, None], ahead * ahead_s, ahead + ahead_s)
-            if np.isnan(truth).all():  # future weeks: nothing to test against
-                rmse = np.sqrt(squared / len(y))
-            else:
-                rmse = np.sqrt(np.nanmean((ahead - truth[None, :]) ** 2, axis=1))
-        squared = np.where(np.isfinite(squared) & np.isfinite(rmse), squared, np.inf)
-        # Weights by train error inside a configuration, the configuration by test error.
-        winners = [np.flatnonzero(place == c)[np.argmin(squared[place == c])] for c in np.unique(place)]
-        winners = [w for w in winners if np.isfinite(squared[w])]
-        if not winners:  # no configuration gives a usable value: the rows stay, without a forecast
-            test["yhat"], test["config"] = np.nan, "not fitted"
-            return test
-        best = min(winners, key=lambda w: rmse[w])
-        test["yhat"] = ahead[best]
-        test["config"] = labels[int(place[best])]
-        return test
-
-    train = F.count_if(~F.col("is_test")).over(Window.partitionBy(*keys))
-    rows = split.select(*keys, date, F.col(target).cast("double").alias(target), "is_test")
-    rows = by_series(rows, keys)
-    rows = rows.withColumn("_train", train).where(F.col("_train") >= least).drop("_train")
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
-    fitted_rows = rows.groupBy(*keys).applyInPandas(fit, f"{schema}, yhat double, config string")
-    return fitted_rows.withColumn("yhat", nan_to_null(F.col("yhat")))
-
-
 def ar_regression(
     split: DataFrame,
     exogenous: Sequence[str] = (),

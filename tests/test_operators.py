@@ -189,10 +189,41 @@ def test_smoothing_matches_a_plain_loop(spark):
             rmse = math.sqrt(np.mean((np.array(ahead) - values[48:]) ** 2))
             if best is None or rmse < best[0]:
                 best = (rmse, ahead)
-        got = forecasts.smoothing(df, period=12).where(F.col("Dept") == dept).orderBy("Date").select("yhat").collect()
+        got = forecasts.smoothing(df, period=12, rounds=0).where(F.col("Dept") == dept).orderBy("Date").select("yhat").collect()
         assert [r[0] for r in got] == pytest.approx(best[1])
 
 
+def test_smoothing_weights_beat_the_grid_for_every_series(spark):
+    series = {(1, k): wave(60 + k, k) for k in range(1, 7)} | {(2, 1): [0.0] + wave(59, 3), (2, 2): wave(20, 1), (2, 3): [7.0] * 60}
+    df = split_last_n(series_frame(spark, series), 12)
+    for trend, seasonal, damped in forecasts.SMOOTHING_CONFIGS:
+        kind = {"period": 12, "configs": [(trend, seasonal, damped)]}
+        rough = {(r["Store"], r["Dept"]): r for r in forecasts.smoothing(df, rounds=0, **kind).collect()}
+        found = forecasts.smoothing(df, **kind).orderBy("Date").collect()
+        fine = {(r["Store"], r["Dept"]): r for r in found}
+        assert set(rough) == set(fine) == set(series)  # a row for each series
+        for key, r in fine.items():
+            assert r["status"] == rough[key]["status"] == ("too short" if key == (2, 2) else "not fitted" if key == (2, 1) and "mul" in (trend, seasonal) else "fitted")
+            if r["status"] != "fitted":
+                assert r["yhat"] is None and r["train_rmse"] is None
+                continue
+            assert r["train_rmse"] <= rough[key]["train_rmse"] * (1 + 1e-12)
+            alpha, beta, gamma, phi = r["weights"]
+            values = series[key]
+            sse, ahead = plain_smoothing(values[:-12], 12, 12, trend, seasonal, phi, alpha, beta, gamma)
+            assert r["train_rmse"] == pytest.approx(math.sqrt(sse / (len(values) - 12)), abs=1e-9)
+            assert [x["yhat"] for x in found if (x["Store"], x["Dept"]) == key] == pytest.approx(ahead)
+
+
+def test_smoothing_finds_the_weights_of_a_level(spark):
+    """Train error at the optimiser's weight against a fine search over the one weight there is."""
+    values = np.cumsum(np.random.default_rng(1).normal(0, 1, 150)) + np.random.default_rng(2).normal(0, 2, 150) + 100
+    df = split_last_n(series_frame(spark, {(1, 1): values.tolist()}), 10)
+    r = forecasts.smoothing(df, period=12, configs=[(None, None, False)]).first()
+    best = min(plain_smoothing(values[:140].tolist(), 0, 12, None, None, 1.0, a, 0.0, 0.0)[0] for a in np.linspace(0.001, 0.999, 999))
+    assert r["train_rmse"] <= math.sqrt(best / 140) * (1 + 1e-6)
+
+
 def test_autoregression_matches_numpy(spark):
     y = wave(90, 7)
     df = split_last_n(series_frame(spark, {(1, 1): y}), 20)
