@@ -13,12 +13,13 @@ from stockspark.operators.accuracy import align_forecast, align_known, periods,
 from stockspark.operators.forecasts import (
     ahead_naive,
     ahead_seasonal_naive,
-    ar_regression,
+    chosen_autoregression,
     fourier_regression,
     naive,
     seasonal_naive,
     smoothing,
 )
+from stockspark.operators.series import exogenous_frame
 from stockspark.operators.splits import split_by_date, split_last_n, split_ratio, split_stratified
 from stockspark.operators.trees import BOOSTED, FOREST, KINDS
 from stockspark.plans import derived
@@ -77,6 +78,21 @@ def series_comparison_full(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shown(compare_series(inputs.weekly(spark, sf_dir)), 2)
 
 
+OUTSIDE = ["Temperature", "Fuel_Price", "CPI", "Unemployment", "MarkDown1"]
+
+
+def _with_outside(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The weekly series with the regular weeks of the outside columns."""
+    known = exogenous_frame(inputs.merged(spark, sf_dir), OUTSIDE)
+    return inputs.weekly(spark, sf_dir).join(known, ["Store", "Dept", "Date"], "left")
+
+
+def series_comparison_outside(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All models; autoregression and the Fourier model see the outside columns."""
+    series = inputs.once(spark, sf_dir, "weekly_outside", lambda: _with_outside(spark, sf_dir))
+    return shown(compare_series(series, exogenous=[c for c in OUTSIDE if c in series.columns]), 2)
+
+
 def aligned(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All actuals against forecasts that exist for the test weeks only; the rest count as 0."""
     forecasts = naive(_split(spark, sf_dir))
@@ -161,7 +177,7 @@ ENTRIES = {
     "forecast_level": (_forecast(inputs.level_only), query(f"SELECT {_forecast_pick} FROM ets", "ets")),
     "forecast_trend": (_forecast(inputs.trend_only), query(f"SELECT {_forecast_pick} FROM trend", "trend")),
     "forecast_smoothing": (_forecast(smoothing), None),
-    "forecast_autoregressive": (_forecast(ar_regression), None),
+    "forecast_autoregressive": (_forecast(chosen_autoregression), None),
     "forecast_fourier": (_forecast(fourier_regression), None),
     "forecast_errors": (
         errors,
@@ -169,6 +185,7 @@ ENTRIES = {
     ),
     "series_comparison": (series_comparison, query(f"SELECT {pick('Store Dept Model', '', 'MAE RMSE MAPE', 2)} FROM scored", "scored")),
     "series_comparison_full": (series_comparison_full, None),
+    "series_comparison_outside": (series_comparison_outside, None),
     "aligned_forecast": (
         aligned,
         query(

@@ -11,14 +11,14 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stockspark.operators.leastsquares import fitted, grouped_ridge
+from stockspark.operators.leastsquares import fitted, grouped_choice, grouped_ridge
 from stockspark.operators.series import DATE, KEYS, PERIOD, TARGET, future_dates
 from stockspark.operators.smoothing import ALPHAS, BETAS, DAMPING, GAMMAS, SMOOTHING_CONFIGS, smoothing
 from stockspark.session import by_series
 
 __all__ = [
     "ALPHAS", "BETAS", "DAMPING", "GAMMAS", "SMOOTHING_CONFIGS", "ahead_naive", "ahead_seasonal_naive", "ar_regression",
-    "fourier_regression", "naive", "seasonal_naive", "smoothing",
+    "chosen_autoregression", "fourier_regression", "naive", "seasonal_naive", "smoothing",
 ]
 
 
@@ -87,25 +87,33 @@ def ar_regression(
     target: str = TARGET,
     date: str = DATE,
     ridge: float = 1e-4,
+    lags: Sequence[int] | None = None,
+    choose: bool = False,
 ) -> DataFrame:
-    """Autoregression on lags 1, 2 and one season, with exogenous columns, per series.
+    """Autoregression on ``lags`` (1, 2 and one season if not given), with exogenous columns, per series.
 
-    Test rows are forecast recursively: each step feeds on the forecasts before it.
+    With ``choose`` each series takes the set of lags with the lowest Akaike criterion; all sets are judged on the
+    train rows that have every lag. Test rows are forecast recursively: each step feeds on the forecasts before
+    it. A missing outside value counts as 0. Every test row stays: ``status`` is "fitted", or "too short" where the
+    train rows do not determine the coefficients or lack the longest lag; yhat and lags are null then.
     """
     order = Window.partitionBy(*keys).orderBy(date)
-    lags = {"_lag1": 1, "_lag2": 2, "_lagS": period}
-    # A missing outside value counts as 0, in train rows as in test rows.
+    lags = sorted({1, 2, period} if lags is None else set(lags))
+    longest = lags[-1]
+    columns = {f"_lag{k}": k for k in lags}
     known = {c: F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in exogenous}
     split = split.withColumns(known) if known else split
-    lagged = split.withColumns({name: F.lag(target, k).over(order) for name, k in lags.items()})
-    features = [*lags, *exogenous]
-    models = grouped_ridge(lagged.where(~F.col("is_test")), keys, target, features, ridge)
-    # Undetermined systems are left out, as a fit with too little history would be.
-    models = models.where(F.col("n") > len(features) + 1)
-
-    # The season before the first test row and the test rows: at most a few hundred per series.
+    lagged = split.withColumns({name: F.lag(target, k).over(order) for name, k in columns.items()})
+    train = lagged.where(~F.col("is_test"))
+    if choose:
+        models = grouped_choice(train, keys, target, exogenous, list(columns), ridge)
+    else:
+        models = grouped_ridge(train, keys, target, [*columns, *exogenous], ridge)
+    models = models.where(F.col("n") > len(lags) + len(exogenous) + 1).select(*keys, "beta")
+
+    # The longest lag before the first test row and the test rows: at most a few hundred per series.
     train_rows = F.count_if(~F.col("is_test")).over(Window.partitionBy(*keys))
-    recent = split.withColumn("_t", train_rows).where(F.col("row") > F.col("_t") - period)
+    recent = split.withColumn("_t", train_rows).where(F.col("row") > F.col("_t") - longest)
     outside = F.array(*[F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in exogenous]).cast("array<double>")
     packed = by_series(recent, keys).groupBy(*keys).agg(
         F.sort_array(
@@ -116,22 +124,21 @@ def ar_regression(
                 F.when(F.col("is_test"), F.struct(F.col(date).alias("d"), F.col(target).cast("double").alias("y"), outside.alias("x")))
             )
         ).alias("_ahead"),
-    ).where(F.size("_past") == period)
-    joined = packed.join(models, list(keys))
-
+    )
+    joined = packed.join(models, list(keys), "left")
     beta = F.col("beta")
-    last = F.lit(period - 1)
 
     def step(state: Column, row: Column) -> Column:
         past = state["past"]
-        value = F.get(beta, F.lit(0)) + F.get(beta, F.lit(1)) * F.get(past, last)
-        value = value + F.get(beta, F.lit(2)) * F.get(past, last - 1) + F.get(beta, F.lit(3)) * F.get(past, F.lit(0))
+        value = F.get(beta, F.lit(0))
+        for place, lag in enumerate(lags, start=1):
+            value = value + F.get(beta, F.lit(place)) * F.get(past, F.lit(longest - lag))
         for place in range(len(exogenous)):
-            value = value + F.get(beta, F.lit(4 + place)) * F.get(row["x"], F.lit(place))
+            value = value + F.get(beta, F.lit(1 + len(lags) + place)) * F.get(row["x"], F.lit(place))
         made = F.transform(
             F.array(value),
             lambda v: F.struct(
-                F.concat(F.slice(past, 2, period - 1), F.array(v)).alias("past"),
+                F.concat(F.slice(past, 2, longest - 1), F.array(v)).alias("past"),
                 F.concat(state["out"], F.array(F.struct(row["d"].alias("d"), row["y"].alias("y"), v.alias("yhat")))).alias("out"),
             ),
         )
@@ -140,8 +147,19 @@ def ar_regression(
     day = split.schema[date].dataType.simpleString()
     empty = F.array().cast(f"array<struct<d:{day},y:double,yhat:double>>")
     start = F.struct(F.transform("_past", lambda p: p["y"]).alias("past"), empty.alias("out"))
-    out = F.aggregate("_ahead", start, step, lambda state: state["out"])
-    return joined.select(*keys, F.inline(out)).select(*keys, F.col("d").alias(date), F.col("y").alias(target), "yhat")
+    usable = beta.isNotNull() & (F.size("_past") == longest)
+    out = F.when(usable, F.aggregate("_ahead", start, step, lambda state: state["out"])).otherwise(
+        F.transform("_ahead", lambda r: F.struct(r["d"].alias("d"), r["y"].alias("y"), F.lit(None).cast("double").alias("yhat")))
+    )
+    taken = F.array_compact(F.array(*[F.when(F.get(beta, F.lit(k)) != 0, F.lit(lag)) for k, lag in enumerate(lags, start=1)]))
+    status = F.when(usable, F.lit("fitted")).otherwise(F.lit("too short"))
+    rows = joined.select(*keys, status.alias("status"), F.when(usable, taken).alias("lags"), F.inline(out))
+    return rows.select(*keys, F.col("d").alias(date), F.col("y").alias(target), "yhat", "status", "lags")
+
+
+def chosen_autoregression(split: DataFrame, exogenous: Sequence[str] = (), period: int = PERIOD, **kind) -> DataFrame:
+    """``ar_regression`` with lags chosen among the last four, the season and the one before it."""
+    return ar_regression(split, exogenous, period, lags=(1, 2, 3, 4, period, period + 1), choose=True, **kind)
 
 
 def fourier_columns(date: str, harmonics: int) -> dict[str, Column]:

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from stockspark.checks import require_columns
-from stockspark.operators import forecasts
+from stockspark.operators import forecasts, leastsquares
 from stockspark.operators.accuracy import best_model, score
 from stockspark.operators.alerts import category_filter_column, order_alerts
 from stockspark.operators.cleaning import fill_by_store
@@ -26,8 +26,10 @@ from stockspark.operators.series import (
 from stockspark.operators.splits import split_last_n, split_stratified
 from stockspark.operators.terms import NaiveBayes
 from stockspark.operators.trees import KINDS, fit_trees, predict
+from stockspark.plans import series as series_plans
 from stockspark.plans.panel import engineer
 from stockspark.plans.risk import enrich, train_classifier
+from stockspark.plans.series import compare_series, forecast_ahead
 from stockspark.session import scratch_path
 from stockspark.sources.tables import latest_artifact, load_model, read_panel, save_model, save_panel
 from stockspark.streaming.alerts import news_stream, write_alerts
@@ -237,6 +239,94 @@ def test_autoregression_matches_numpy(spark):
     assert got == pytest.approx(past[70:], rel=1e-6)
 
 
+def exhaustive(rows, y, fixed, free):
+    """The lowest criterion over all sets of free columns, and its coefficients, by least squares for each set."""
+    best = None
+    for bits in range(1 << len(free)):
+        columns = [*fixed, *[c for k, c in enumerate(free) if bits >> k & 1]]
+        beta, *_ = np.linalg.lstsq(rows[:, columns], y, rcond=None)
+        rss = float(((y - rows[:, columns] @ beta) ** 2).sum())
+        aic = len(y) * math.log(rss / len(y)) + 2 * len(columns)
+        if best is None or aic < best[0] - 1e-9:
+            full = np.zeros(rows.shape[1])
+            full[columns] = beta
+            best = (aic, full)
+    return best
+
+
+def test_chosen_columns_equal_least_squares_over_all_sets():
+    rng = np.random.default_rng(5)
+    matrices, rows, wanted = [], [], []
+    for n in (20, 35, 60, 200):
+        x = np.column_stack([np.ones(n), rng.normal(0, 1, (n, 6))])
+        x[:, 4] = x[:, 3] + rng.normal(0, 0.2, n)
+        y = x @ np.array([3.0, 1.0, 0, 0.5, 0, 0, 0.1]) + rng.normal(0, 1, n)
+        both = np.column_stack([x, y])
+        matrices.append(both.T @ both)
+        rows.append(n)
+        wanted.append(exhaustive(x, y, [0, 6], [1, 2, 3, 4, 5]))
+    beta, aic = leastsquares.chosen_columns(np.array(matrices), np.array(rows, float), [0, 6], [1, 2, 3, 4, 5])
+    assert aic == pytest.approx([w[0] for w in wanted])
+    for b, (_, full) in zip(beta, wanted):
+        assert b == pytest.approx(full, abs=1e-8)
+
+
+def test_a_column_explained_by_others_stays_out():
+    x = np.column_stack([np.ones(30), np.arange(30.0), 2 * np.arange(30.0), np.zeros(30)])
+    y = 1 + 3 * np.arange(30.0) + np.random.default_rng(1).normal(0, 1, 30)
+    both = np.column_stack([x, y])
+    beta, _ = leastsquares.chosen_columns((both.T @ both)[None], np.array([30.0]), [0], [1, 2, 3])
+    assert np.isfinite(beta).all() and (beta[0, 1] == 0) != (beta[0, 2] == 0) and beta[0, 3] == 0
+    assert x @ beta[0] == pytest.approx(x[:, :2] @ np.linalg.lstsq(x[:, :2], y, rcond=None)[0])
+
+
+def test_chosen_lags_and_outside_columns_in_a_comparison(spark):
+    rng = np.random.default_rng(3)
+    outside = rng.normal(0, 1, (2, 110))
+    data, rows = {}, []
+    for store in (0, 1):
+        y = rng.normal(20, 1, 12).tolist()
+        for i in range(12, 110):
+            y.append(8 + (0.6 * y[-1] if store else 0.5 * y[-12]) + 3 * outside[store, i] + rng.normal(0, 0.05))
+        data[store] = y
+        rows += [(store, 1, d, float(v), float(e)) for d, v, e in zip(weeks(110), y, outside[store])]
+    rows += [(9, 1, d, 5.0 + k, 0.0) for k, d in enumerate(weeks(30))]
+    schema = "Store int, Dept int, Date date, Weekly_Sales double, x double"
+    df = split_last_n(spark.createDataFrame(rows, schema), 20)
+    got = forecasts.chosen_autoregression(df, ["x"], period=12, ridge=0.0).orderBy("Date").collect()
+    for store, y in data.items():
+        train, mine = y[:90], [r for r in got if r["Store"] == store]
+        x = np.array([[1, *[train[i - k] for k in (1, 2, 3, 4, 12, 13)], outside[store, i]] for i in range(13, 90)])
+        _, beta = exhaustive(x, np.array(train[13:]), [0, 7], [1, 2, 3, 4, 5, 6])
+        assert mine[0]["lags"] == [k for k, b in zip((1, 2, 3, 4, 12, 13), beta[1:7]) if b] and (1 if store else 12) in mine[0]["lags"]
+        past = list(train)
+        for i in range(90, 110):
+            past.append(float(beta @ np.array([1, *[past[-k] for k in (1, 2, 3, 4, 12, 13)], outside[store, i]])))
+        assert [r["yhat"] for r in mine] == pytest.approx(past[90:], rel=1e-5)
+    short = [r for r in got if r["Store"] == 9]
+    assert len(short) == 20 and {(r["status"], r["yhat"]) for r in short} == {("too short", None)}
+
+
+def test_outside_columns_reach_the_models_of_a_comparison(spark):
+    seen = []
+
+    def model(split, exogenous=()):
+        seen.append((tuple(exogenous), split.columns))
+        return split.where("is_test").withColumn("yhat", F.lit(1.0))
+
+    series_plans.OUTSIDE[model] = "exogenous"
+    try:
+        series = series_frame(spark, {(1, 1): wave(60, 1)}).withColumn("x", F.rand(1))
+        assert compare_series(series, {"m": (model, {})}, 5, exogenous=["x"]).count() == 1
+        future = spark.createDataFrame([(1, 1, weeks(61)[-1], 7.0)], "Store int, Dept int, Date date, x double")
+        assert forecast_ahead(series, 3, {"m": (model, {})}, outside=future, exogenous=["x"]).count() == 3
+        split = series_plans.future_split(series, 3, outside=future, exogenous=["x"]).where("is_test").orderBy("Date")
+        assert [r["x"] for r in split.collect()] == [7.0, None, None]
+    finally:
+        del series_plans.OUTSIDE[model]
+    assert [s[0] for s in seen] == [("x",), ("x",)] and all("x" in s[1] for s in seen)
+
+
 def test_autoregression_uses_exogenous_columns(spark):
     rng = np.random.default_rng(2)
     x = rng.normal(0, 1, 90)
