@@ -10,6 +10,7 @@ from stockspark.catalog.inputs import shown
 from stockspark.catalog.sql import pick, query, rounded
 from stockspark.functions.calendar import is_holiday_week
 from stockspark.operators.accuracy import align_forecast, align_known, periods, score
+from stockspark.operators.changepoints import changepoint_regression
 from stockspark.operators.forecasts import (
     ahead_naive,
     ahead_seasonal_naive,
@@ -179,6 +180,7 @@ ENTRIES = {
     "forecast_smoothing": (_forecast(smoothing), None),
     "forecast_autoregressive": (_forecast(chosen_autoregression), None),
     "forecast_fourier": (_forecast(fourier_regression), None),
+    "forecast_changepoints": (_forecast(changepoint_regression), None),
     "forecast_errors": (
         errors,
         query(f"SELECT {pick('Store Dept Model', '', 'MAE RMSE MAPE', 2)} FROM scored WHERE Model = 'SeasonalNaiveForecast'", "scored"),

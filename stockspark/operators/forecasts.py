@@ -172,6 +172,20 @@ def fourier_columns(date: str, harmonics: int) -> dict[str, Column]:
     return columns
 
 
+def fourier_terms(
+    regressors: Sequence[str], holiday: str | None, harmonics: int, target: str, date: str
+) -> tuple[dict[str, Column], list[str]]:
+    """The columns of the regression (years first) and their names; ``_log`` is the target's logarithm."""
+    added = {"_years": (F.unix_date(F.col(date)) - F.lit(9131)).cast("double") / F.lit(365.25), **fourier_columns(date, harmonics)}
+    if holiday:
+        added["_holiday"] = F.coalesce(F.col(holiday).cast("double"), F.lit(0.0))
+    for name in regressors:
+        added[f"_x_{name}"] = F.coalesce(F.col(name).cast("double"), F.lit(0.0))
+    features = list(added)
+    added["_log"] = F.when(F.col(target) > 0, F.log(F.col(target).cast("double")))
+    return added, features
+
+
 def fourier_regression(
     split: DataFrame,
     regressors: Sequence[str] = (),
@@ -186,16 +200,8 @@ def fourier_regression(
 
     The logarithm of the target is regressed; train rows that are not positive are left out.
     """
-    waves = fourier_columns(date, harmonics)
-    years = (F.unix_date(F.col(date)) - F.lit(9131)).cast("double") / F.lit(365.25)
-    added = {"_years": years, **waves}
-    if holiday:
-        added["_holiday"] = F.coalesce(F.col(holiday).cast("double"), F.lit(0.0))
-    for name in regressors:
-        added[f"_x_{name}"] = F.coalesce(F.col(name).cast("double"), F.lit(0.0))
-    added["_log"] = F.when(F.col(target) > 0, F.log(F.col(target).cast("double")))
+    added, features = fourier_terms(regressors, holiday, harmonics, target, date)
     rows = split.withColumns(added)
-    features = [name for name in added if name != "_log"]
     models = grouped_ridge(rows.where(~F.col("is_test")), keys, "_log", features, ridge)
     tests = rows.where(F.col("is_test")).join(models.select(*keys, "beta"), list(keys))
     return tests.select(*keys, date, target, F.exp(fitted(F.col("beta"), features)).alias("yhat"))

@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stockspark.operators.accuracy import forecast_record, periods, python_literal, score
-from stockspark.operators.forecasts import chosen_autoregression, fourier_regression, naive, seasonal_naive, smoothing
+from stockspark.operators.changepoints import changepoint_regression
+from stockspark.operators.forecasts import chosen_autoregression, naive, seasonal_naive, smoothing
 from stockspark.operators.series import (
     DATE,
     KEYS,
@@ -33,11 +34,11 @@ MODELS: dict[str, tuple[Callable[[DataFrame], DataFrame], dict[str, object]]] =
         chosen_autoregression,
         {"method": "ar_regression", "lags": [1, 2, 3, 4, PERIOD, PERIOD + 1], "selection": "aic"},
     ),
-    "Prophet": (fourier_regression, {"method": "fourier_regression", "seasonality_mode": "multiplicative"}),
+    "Prophet": (changepoint_regression, {"method": "changepoint_regression", "seasonality_mode": "multiplicative"}),
 }
 
 # Forecasters that take outside columns, and the argument that names them.
-OUTSIDE = {chosen_autoregression: "exogenous", fourier_regression: "regressors"}
+OUTSIDE = {chosen_autoregression: "exogenous", changepoint_regression: "regressors"}
 
 
 def with_outside(

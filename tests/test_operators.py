@@ -11,6 +11,7 @@ from stockspark.checks import require_columns
 from stockspark.operators import forecasts, leastsquares
 from stockspark.operators.accuracy import best_model, score
 from stockspark.operators.alerts import category_filter_column, order_alerts
+from stockspark.operators.changepoints import changepoint_regression, descend
 from stockspark.operators.cleaning import fill_by_store
 from stockspark.operators.inventory import replay, sensitivity, with_defaults
 from stockspark.operators.leastsquares import grouped_ridge
@@ -349,6 +350,51 @@ def test_fourier_regression_recovers_a_product(spark):
     assert [r[0] for r in got] == pytest.approx(list(y[108:]), rel=1e-6)
 
 
+def test_a_trend_without_bends_is_the_plain_one(spark):
+    df = split_last_n(series_frame(spark, {(1, 1): wave(150, 3), (1, 2): wave(40, 4)}).withColumn("IsHoliday", F.col("Store") == 9), 20)
+    df = df.withColumn("x", F.rand(3))
+    plain = {(r["Dept"], r["Date"]): r["yhat"] for r in forecasts.fourier_regression(df, ["x"]).collect()}
+    got = changepoint_regression(df, ["x"], penalty=math.inf).collect()
+    assert {(r["Dept"], r["Date"]) for r in got} == set(plain) and all(r["changepoints"] == [] for r in got)
+    assert [r["yhat"] for r in got] == pytest.approx([plain[r["Dept"], r["Date"]] for r in got], rel=1e-6)
+
+
+def test_planted_changepoints_are_found(spark):
+    rng = np.random.default_rng(6)
+    data, t = {}, np.arange(240) / 52
+    for dept, (places, slopes) in enumerate([((), ()), ((80,), (0.9,)), ((50, 130), (0.8, -1.4))], start=1):
+        trend = 3 + 0.1 * t + sum(s * np.maximum(t - p / 52, 0) for p, s in zip(places, slopes))
+        data[1, dept] = np.exp(trend + 0.1 * np.sin(2 * np.pi * t) + rng.normal(0, 0.01, 240)).tolist()
+    data[2, 1] = [-1.0] * 60
+    df = split_last_n(series_frame(spark, data), 40)
+    got = changepoint_regression(df, holiday=None, harmonics=1, ridge=0.0).orderBy("Date").collect()
+    days = weeks(240)
+    for dept, places in ((1, ()), (2, (80,)), (3, (50, 130))):
+        mine = [r for r in got if (r["Store"], r["Dept"]) == (1, dept)]
+        found = sorted({days.index(d) for d in mine[0]["changepoints"]})
+        assert len(mine) == 40
+        for p in places:
+            assert min(abs(f - p) for f in found) <= 7
+        assert all(min([abs(f - p) for p in places], default=99) <= 14 for f in found)
+        truth = data[1, dept][200:]
+        assert np.mean(np.abs([r["yhat"] / v - 1 for r, v in zip(mine, truth)])) < 0.05
+    plain = forecasts.fourier_regression(df, holiday=None, harmonics=1, ridge=0.0).where("Dept = 3").orderBy("Date").collect()
+    assert np.mean(np.abs([r["yhat"] / v - 1 for r, v in zip(plain, data[1, 3][200:])])) > 0.2
+    assert {(r["status"], r["yhat"]) for r in got if r["Store"] == 2} == {("not fitted", None)}
+
+
+def test_coordinate_descent_meets_the_optimum():
+    rng = np.random.default_rng(7)
+    x = rng.normal(0, 1, (3, 40, 6))
+    y = rng.normal(0, 1, (3, 40)) + 2 * x[:, :, 1]
+    matrix, right = np.einsum("nki,nkj->nij", x, x), np.einsum("nki,nk->ni", x, y)
+    for penalty in (0.0, 3.0, 15.0, 1e9):
+        beta = descend(matrix, right, np.full(3, penalty), np.zeros((3, 6)))
+        slack = right - np.einsum("nij,nj->ni", matrix, beta)
+        assert (np.abs(slack) <= penalty + 1e-4).all()
+        assert slack[beta != 0] == pytest.approx(penalty * np.sign(beta[beta != 0]), abs=1e-4)
+
+
 def test_grouped_ridge_per_group(spark):
     rng = np.random.default_rng(4)
     rows = []
