@@ -34,11 +34,15 @@ from stockspark.operators.alerts import (
     search,
 )
 from stockspark.operators.terms import NaiveBayes, class_report, confusion, report_summary, tf_idf
+from stockspark.operators.valence import induced_lexicon, lexicon_score, seed_valence
 from stockspark.plans import derived
 from stockspark.plans.risk import ARTIFACT_PREFIX, enrich, risk_alerts, train_classifier, training_rows
 from stockspark.session import scratch_path
 from stockspark.sources.tables import latest_artifact
 
+# The categories that count as negative.
+HOSTILE = ("Labor Dispute", "Cybersecurity Attack")
+
 
 def _worded(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All items with their content words, written once: several passes follow."""
@@ -60,6 +64,25 @@ def _judged(spark: SparkSession, sf_dir: str) -> DataFrame:
     return labelled.select("id", "risk_category", F.coalesce(other, F.col("risk_category")).alias("predicted"))
 
 
+def _valued(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All items with their content words and a label: 1 for the calm categories, 0 for the hostile ones."""
+    label = F.when(F.col("risk_category").isin(*HOSTILE), 0).when(F.col("risk_category").isNotNull(), 1)
+    return _worded(spark, sf_dir).select("id", "words", label.alias("label"))
+
+
+def valence_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shown(seed_valence(_valued(spark, sf_dir), "words", "label"), 6)
+
+
+def induced_sentiment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All items by a lexicon that two thirds of the labels taught."""
+    held_out = F.crc32(F.col("id").cast("string").cast("binary")) % 3 == 1
+    valued = _valued(spark, sf_dir).withColumn("held_out", held_out)
+    taught = valued.withColumn("label", F.when(~F.col("held_out"), F.col("label")))
+    scored = lexicon_score(valued, "words", induced_lexicon(taught, "words", "label"))
+    return shown(scored.select("id", "held_out", "score", sentiment_label(F.col("score")).alias("mood")))
+
+
 def normalised_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     news = derived.news(spark, sf_dir)
     clean = normalise(F.col("summary"))
@@ -289,6 +312,27 @@ ENTRIES = {
         ),
     ),
     "sentiment": (sentiment, query("SELECT id, round(score, 3) AS score, label FROM felt", "news", extra=_mood)),
+    "valence_seeds": (
+        valence_seeds,
+        query(
+            f"""SELECT word, positive, negative, {rounded('valence', 6)} AS valence FROM (
+            SELECT *, (ln((positive + 0.5) / (p - positive + 0.5)) - ln((negative + 0.5) / (n - negative + 0.5)))
+                * ((positive + negative) / (positive + negative + 10.0)) AS valence
+            FROM counted, sides WHERE positive + negative >= 5
+            AND abs(ln((positive + 0.5) / (p - positive + 0.5)) - ln((negative + 0.5) / (n - negative + 0.5))) >= 3.0 * sqrt(
+                1 / (positive + 0.5) + 1 / (p - positive + 0.5) + 1 / (negative + 0.5) + 1 / (n - negative + 0.5)))""",
+            "news",
+            extra={
+                **_content,
+                "valued": """SELECT c.id, w, CASE WHEN risk_category IN ('Labor Dispute', 'Cybersecurity Attack') THEN 0 ELSE 1 END AS label
+                FROM content c JOIN news n ON c.id = n.id WHERE risk_category IS NOT NULL""",
+                "sides": """SELECT CAST(count(*) FILTER (label = 1) AS DOUBLE) AS p, CAST(count(*) FILTER (label = 0) AS DOUBLE) AS n FROM valued""",
+                "counted": """SELECT word, count(*) FILTER (label = 1) AS positive, count(*) FILTER (label = 0) AS negative
+                FROM (SELECT label, unnest(list_distinct(w)) AS word FROM valued) GROUP BY word""",
+            },
+        ),
+    ),
+    "induced_sentiment": (induced_sentiment, None),
     "term_weights": (term_weights, query(f"SELECT id, term, {rounded('weight', 6)} AS weight FROM weights", "news", extra=_grams)),
     "bayes_scores": (bayes_scores, query(f"SELECT id, label, {rounded('score')} AS score FROM final", "news", extra=_bayes)),
     "bayes_predictions": (
