@@ -331,7 +331,14 @@ ENTRIES = {
             "cleaned",
         ),
     ),
-    "seeded_sample": (sample, None),
+    "seeded_sample": (
+        sample,
+        query(
+            f"""SELECT {pick('Store Dept', 'Date', 'Weekly_Sales')} FROM
+            (SELECT * FROM sales ORDER BY md5(concat_ws(':', '42', Store, Dept, Date)), Store, Dept, Date LIMIT 5000)""",
+            "sales",
+        ),
+    ),
     "mape_cap": (
         capped,
         query(f"SELECT {pick('Store Dept Model', '', 'MAPE', 2)} FROM logs WHERE MAPE <= greatest((SELECT quantile_cont(MAPE, 0.98) FROM logs), 100.0)", "logs"),

@@ -344,7 +344,15 @@ ENTRIES = {
         query("SELECT id, arg_min(label, (-score, label)) AS predicted FROM final GROUP BY id", "news", extra=_bayes),
     ),
     "classifier_training": (classifier_training, None),
-    "training_split": (training_split, None),
+    "training_split": (
+        training_split,
+        query(
+            """SELECT id, risk_category, row_number() OVER (PARTITION BY risk_category ORDER BY substr(md5(concat_ws(':', '42', id)), 1, 15))
+                <= ceil(0.25 * count(*) OVER (PARTITION BY risk_category)) AS is_test
+            FROM content JOIN news USING (id) WHERE risk_category IS NOT NULL AND summary IS NOT NULL AND len(w) > 0""",
+            "news", extra=_content,
+        ),
+    ),
     "confusion": (
         confusion_table,
         query("SELECT a AS actual, p AS predicted, count(*) AS n FROM judged GROUP BY ALL", "news", extra=_judged_sql),
@@ -424,5 +432,27 @@ ENTRIES = {
         )
         for name, order in _orders.items()
     },
-    "classified_alerts": (classified_alerts, None),
+    "classified_alerts": (
+        classified_alerts,
+        query(
+            """SELECT id, CAST(date_published AS VARCHAR) AS date_published, predicted_sentiment, ai_predicted_category, ai_risk_score,
+            CASE WHEN ai_risk_score >= 8 THEN 'High Risk' WHEN ai_risk_score >= 5 THEN 'Medium Risk' WHEN ai_risk_score >= 1 THEN 'Low Risk'
+                ELSE 'Minimal/No Risk' END AS risk_band
+            FROM (SELECT *, CAST(greatest(0, least(10, CASE WHEN predicted_sentiment = 'Negative' THEN base + 2
+                WHEN predicted_sentiment = 'Positive' AND base > 3 AND ai_predicted_category <> 'Positive Supplier News' THEN base - 1
+                ELSE base END)) AS INTEGER) AS ai_risk_score FROM priced) WHERE ai_risk_score BETWEEN 0 AND 10""",
+            "news",
+            extra={
+                **_bayes,
+                **{name: _mood[name] for name in ("words", "hits", "mood", "felt")},
+                "guess": "SELECT id, arg_min(label, (-score, label)) AS predicted FROM final GROUP BY id",
+                # The severities of the four categories of the labels, and of the reasons for having none.
+                "priced": f"""SELECT *, CASE ai_predicted_category WHEN 'Cybersecurity Attack' THEN 7 WHEN 'Labor Dispute' THEN 6
+                    WHEN 'Market Volatility' THEN 4 WHEN 'Positive Supplier News' THEN 1 ELSE 3 END AS base FROM
+                    (SELECT n.id, n.date_published, f.label AS predicted_sentiment, CASE WHEN trim(coalesce(nullif(trim(summary), ''), headline, '')) = '' THEN '{NO_INPUT}'
+                        WHEN len(c.w) = 0 THEN 'N/A (No Processable Text)' ELSE predicted END AS ai_predicted_category
+                    FROM news n JOIN felt f USING (id) JOIN content c USING (id) LEFT JOIN guess USING (id))""",
+            },
+        ),
+    ),
 }

@@ -10,13 +10,14 @@ from pyspark.sql.types import NumericType
 
 from stockspark.checks import require_columns
 from stockspark.operators.profile import describe_categories, long_form
-from stockspark.operators.ranks import exact_quantiles
+from stockspark.operators.ranks import cuts_below, exact_quantiles
 from stockspark.operators.series import DATE, backward_filled, forward_filled
 from stockspark.session import materialise
 
 MARKDOWNS = ("MarkDown1", "MarkDown2", "MarkDown3", "MarkDown4", "MarkDown5")
 SLOW_COLUMNS = ("CPI", "Unemployment")
 UNKNOWN = "Unknown"
+LABEL_RANGES = 256  # a power of two
 
 
 def zero_fill(df: DataFrame, columns: Sequence[str] = MARKDOWNS) -> DataFrame:
@@ -56,14 +57,24 @@ def drop_incomplete(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.dropna(subset=list(columns))
 
 
-def label_codes(df: DataFrame, column: str, code: str, start: int = 0) -> DataFrame:
-    """A dictionary of the distinct labels and their index in sorted order.
+def label_codes(df: DataFrame, column: str, code: str, start: int = 0, ranges: int = LABEL_RANGES) -> DataFrame:
+    """A dictionary of the distinct labels and their index in sorted order; NULL is no label.
 
-    The window runs over one row per distinct label, not over the data.
+    The labels are cut into ``ranges`` ranges at labels drawn by a hash, numbered inside each range, and moved on by
+    the number of labels in the ranges before. No task holds more than a range.
     """
     labels = df.select(F.col(column).cast("string").alias(column)).where(F.col(column).isNotNull()).distinct()
-    place = F.row_number().over(Window.orderBy(column)) - F.lit(1 - start)
-    return labels.select(column, place.cast("int").alias(code))
+    # The labels with the smallest hashes are a uniform draw, taken in each task first; they decide balance only.
+    drawn = labels.orderBy(F.xxhash64(column), column).limit(ranges - 1)
+    cuts = drawn.agg(F.array_sort(F.collect_list(column))).scalar()
+    placed = labels.withColumn("_cuts", cuts).select(column, cuts_below(F.col("_cuts"), F.col(column), ranges).alias("_range"))
+    sizes = placed.groupBy("_range").agg(F.count(F.lit(1)).alias("n"))
+    sizes = sizes.agg(F.collect_list(F.struct("_range", "n"))).scalar()
+    before = F.aggregate(
+        F.filter("_sizes", lambda s: s["_range"] < F.col("_range")), F.lit(0).cast("bigint"), lambda total, s: total + s["n"]
+    )
+    place = F.row_number().over(Window.partitionBy("_range").orderBy(column)) + before - F.lit(1 - start)
+    return placed.withColumn("_sizes", sizes).select(column, place.cast("int").alias(code))
 
 
 def encode_label(df: DataFrame, column: str, code: str, codes: DataFrame | None = None) -> DataFrame:

@@ -217,8 +217,8 @@ def correlations(df: DataFrame, features: Sequence[str], target: str) -> DataFra
 
 
 def seeded_sample(df: DataFrame, keys: Sequence[str], rows: int = SAMPLE_ROWS, seed: int = SAMPLE_SEED) -> DataFrame:
-    """At most ``rows`` rows, chosen by a seeded hash of the keys: the same rows on every run."""
-    order = F.xxhash64(F.lit(seed), *[F.col(k) for k in keys])
+    """At most ``rows`` rows, chosen by a digest of the seed and the keys: the same rows on every run."""
+    order = F.md5(F.concat_ws(":", F.lit(str(seed)), *[F.col(k).cast("string") for k in keys]).cast("binary"))
     return df.orderBy(order, *keys).limit(rows)
 
 

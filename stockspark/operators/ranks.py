@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 BUCKETS = 256  # a power of two
 
 
-def _cuts_below(cuts: Column, value: Column, buckets: int) -> Column:
-    """How many of the ``buckets - 1`` ascending cut points lie below ``value``: a binary search."""
+def cuts_below(cuts: Column, value: Column, buckets: int) -> Column:
+    """How many of the at most ``buckets - 1`` ascending cut points lie below ``value``: a binary search."""
     steps = F.array(*[F.lit(buckets >> k) for k in range(1, buckets.bit_length())])
     return F.aggregate(
         steps,
@@ -68,7 +68,7 @@ def values_at_ranks(
         *by_cols,
         "_v",
         "_n",
-        _cuts_below(F.col("_group.cuts"), F.col("_v"), buckets).alias("_b"),
+        cuts_below(F.col("_group.cuts"), F.col("_v"), buckets).alias("_b"),
         F.col("_group.total").alias("total"),
     )
 

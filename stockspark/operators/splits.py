@@ -47,12 +47,13 @@ def split_ratio(
 
 
 def split_stratified(df: DataFrame, label: str, key: str, share: float = 0.25, seed: int = 42) -> DataFrame:
-    """``ceil(share * n)`` rows of each label are test rows, chosen by a seeded hash of ``key``.
+    """``ceil(share * n)`` rows of each label are test rows, chosen by a digest of seed and ``key``.
 
-    The cut is the exact rank of the hash within the label, found without ordering a whole
+    The cut is the exact rank of the digest's first 60 bits within the label, found without ordering a whole
     label in one task.
     """
-    hashed = df.withColumn("_h", F.xxhash64(F.lit(seed), F.col(key)))
+    digest = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(key).cast("string")).cast("binary"))
+    hashed = df.withColumn("_h", F.conv(F.substring(digest, 1, 15), 16, 10).cast("bigint"))
     cuts = values_at_ranks(
         hashed, "_h", lambda total: F.array(F.ceil(F.lit(share) * total) - 1), by=[label]
     ).select(F.col(label).alias("_label"), F.col("value").alias("_cut"))

@@ -12,7 +12,7 @@ from stockspark.operators import forecasts, leastsquares
 from stockspark.operators.accuracy import best_model, score
 from stockspark.operators.alerts import category_filter_column, order_alerts
 from stockspark.operators.changepoints import changepoint_regression, descend
-from stockspark.operators.cleaning import fill_by_store
+from stockspark.operators.cleaning import fill_by_store, label_codes
 from stockspark.operators.inventory import replay, sensitivity, with_defaults
 from stockspark.operators.leastsquares import grouped_ridge
 from stockspark.operators.profile import excess_kurtosis, seeded_sample, skewness
@@ -609,6 +609,19 @@ def test_seasonal_naive_repeats_for_any_number_of_rows(spark):
     assert [r[0] for r in got] == [7.0, 8.0, 9.0, 10.0] * 5
 
 
+@pytest.mark.parametrize("ranges", [2, 8, 256])
+def test_labels_are_numbered_over_ranges(spark, ranges):
+    rng = random.Random(3)
+    names = [f"{'common prefix ' * (i % 2)}{rng.randrange(10**6)}é" for i in range(900)]
+    rows = [(n, k) for k, n in enumerate(names)] + [(None, -1), ("", -2)] + [("hot", k) for k in range(2000)]
+    df = spark.createDataFrame(rows, "name string, k int").repartition(7)
+    codes = label_codes(df, "name", "code", start=5, ranges=ranges)
+    wanted = sorted({n for n, _ in rows if n is not None}, key=lambda n: n.encode())
+    assert {r["name"]: r["code"] for r in codes.collect()} == {n: 5 + k for k, n in enumerate(wanted)}
+    assert "windowspecdefinition(name" not in codes._jdf.queryExecution().optimizedPlan().toString()
+    assert label_codes(df.where("k < -5"), "name", "code").count() == 0
+
+
 def test_weeks_with_several_or_odd_days(spark):
     days = [date(2024, 1, 2), date(2024, 1, 4), date(2024, 1, 5), date(2024, 1, 6), date(2024, 1, 25)]
     df = spark.createDataFrame([(1, 1, d, float(k)) for k, d in enumerate(days)], "Store int, Dept int, Date date, Weekly_Sales double")
