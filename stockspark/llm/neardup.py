@@ -12,8 +12,8 @@ common ordered run of shingles, aligned within a band, makes up SIMILARITY of al
    centre, and each member is paired with it, so a bucket of n gives n - 1 pairs, not n * (n - 1) / 2.
 3. Pairs are verified with the words of both texts, and links are joined into classes by passing on the
    smallest label along links until nothing changes.
-4. In buckets that still hold several classes, the member with most links becomes the centre for the members of
-   other classes, once more.
+4. In buckets that still hold several classes, members that follow each other in the order of their further sketch
+   values are paired once more: such pairs share several values, and a bucket of n gives n - 1 of them.
 5. What these two rounds leave is settled exactly. The texts of the buckets that are still mixed meet on the rare
    shingles of their prefixes (``remaining``), so that every pair of differing classes in a bucket is verified or
    excluded by a bound on its shared shingles.
@@ -297,6 +297,32 @@ def remaining(opened: DataFrame, least: float = SIMILARITY) -> DataFrame:
     return pairs.select(F.greatest("x_node", "y_node").alias("a"), F.least("x_node", "y_node").alias("b")).distinct()
 
 
+def neighbours(texts: DataFrame, mixed: DataFrame) -> DataFrame:
+    """Pairs (a, b) of texts (node, keys) that are next to each other in a bucket of ``mixed`` (key).
+
+    The members of a bucket are ordered by the sketch values after the shared one, so neighbours mostly share
+    several. The order is dealt by range, so a bucket may span tasks; only its pairs across their borders are left out.
+    """
+    turned = F.transform("keys", lambda k, i: F.struct(k.alias("key"), F.get("keys", (i + 1) % SKETCHES).alias("k2"), F.get("keys", (i + 2) % SKETCHES).alias("k3")))
+    rows = texts.select("node", F.explode(turned).alias("t")).select("t.key", "t.k2", "t.k3", "node").join(mixed, "key")
+    order = ["key", "k2", "k3", "node"]
+    parts = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = rows.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last_key, last_node = None, None
+        for batch in batches:
+            pairs = []
+            for key, node in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                if key == last_key and node != last_node:
+                    pairs.append((max(node, last_node), min(node, last_node)))
+                last_key, last_node = key, node
+            if pairs:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in zip(*pairs)], ["a", "b"])
+
+    return ranged.select("key", "node").mapInArrow(run, "a binary, b binary").distinct()
+
+
 def solved(docs: DataFrame, least: float = SIMILARITY) -> tuple[DataFrame, DataFrame, DataFrame]:
     """The rows (doc_id, row, node), the texts (node, doc_id, row, copies, label) and the links (a, b).
 
@@ -317,30 +343,17 @@ def solved(docs: DataFrame, least: float = SIMILARITY) -> tuple[DataFrame, DataF
     tried = materialise(buckets.where("node <> centre").select(F.col("node").alias("a"), F.col("centre").alias("b")).distinct(), "pairs")
     links = materialise(verified(tried, words, least), "links")
     labels = classes(links)
-    # One more round, in buckets that hold several classes: the member with most links is the centre.
-    known = labels.join(degrees(links), "node")
-    placed = materialise(
-        buckets.select("key", "node").join(known, "node", "left").select(
-            "key", "node", F.coalesce("label", "node").alias("label"), F.coalesce("links", F.lit(0)).alias("links")
-        ),
-        "placed",
-    )
-    hub = F.max(F.struct("links", F.xxhash64("node").alias("draw"), "node", "label"))
-    mixed = (
-        placed.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), hub.alias("c"))
-        .where("low <> high").select("key", F.col("c.node").alias("centre"), F.col("c.label").alias("centre_label"))
-    )
-    pairs = (
-        placed.join(mixed, "key").where(F.col("label") != F.col("centre_label"))
-        .select(F.greatest("node", "centre").alias("a"), F.least("node", "centre").alias("b")).distinct()
-    )
-    fresh = materialise(pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
+    # One more round, between neighbours in the order of several sketch values.
+    mixed = buckets.join(labels, "node", "left").groupBy("key").agg(
+        F.min(F.coalesce("label", "node")).alias("low"), F.max(F.coalesce("label", "node")).alias("high")
+    ).where("low <> high").select("key")
+    fresh = materialise(neighbours(texts, mixed).join(tried, ["a", "b"], "left_anti"), "pairs")
     more = materialise(verified(fresh, words, least), "links")
     labels = merged(labels, more)
     links = links.unionByName(more)
 
     # What is still mixed is settled exactly.
-    relabelled = placed.select("key", "node").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    relabelled = buckets.select("key", "node").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     still = relabelled.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("key")
     members = relabelled.join(still, "key").select("node", "label").distinct()
     opened = materialise(words.join(members, "node").select("node", "label", "words"), "opened")
