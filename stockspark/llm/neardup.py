@@ -13,7 +13,8 @@ common ordered run of shingles, aligned within a band, makes up SIMILARITY of al
 3. Pairs are verified with the words of both texts, and links are joined into classes by passing on the
    smallest label along links until nothing changes.
 4. In buckets that still hold several classes, members that follow each other in the order of their further sketch
-   values are paired once more: such pairs share several values, and a bucket of n gives n - 1 of them.
+   values are paired once more, each with the REACH before it: such pairs share several values, and a bucket of n
+   gives fewer than REACH * n of them.
 5. What these two rounds leave is settled exactly. The texts of the buckets that are still mixed meet on the rare
    shingles of their prefixes (``remaining``), so that every pair of differing classes in a bucket is verified or
    excluded by a bound on its shared shingles.
@@ -40,6 +41,7 @@ SHINGLE = 5
 SIMILARITY = 0.8
 SKETCHES = 16
 LENGTH = 3
+REACH = 3
 # A text with a word of ``words_of``: any character but ASCII signs and blanks.
 WORDED = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
 _STEPS = 1 << 16
@@ -298,7 +300,7 @@ def remaining(opened: DataFrame, least: float = SIMILARITY) -> DataFrame:
 
 
 def neighbours(texts: DataFrame, mixed: DataFrame) -> DataFrame:
-    """Pairs (a, b) of texts (node, keys) that are next to each other in a bucket of ``mixed`` (key).
+    """Pairs (a, b) of texts (node, keys) with the REACH before them in a bucket of ``mixed`` (key).
 
     The members of a bucket are ordered by the sketch values after the shared one, so neighbours mostly share
     several. The order is dealt by range, so a bucket may span tasks; only its pairs across their borders are left out.
@@ -310,13 +312,14 @@ def neighbours(texts: DataFrame, mixed: DataFrame) -> DataFrame:
     ranged = rows.repartitionByRange(parts, *order).sortWithinPartitions(*order)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last_key, last_node = None, None
+        last_key, before = None, []
         for batch in batches:
             pairs = []
             for key, node in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                if key == last_key and node != last_node:
-                    pairs.append((max(node, last_node), min(node, last_node)))
-                last_key, last_node = key, node
+                if key != last_key:
+                    last_key, before = key, []
+                pairs += [(max(node, other), min(node, other)) for other in before if other != node]
+                before = [*before, node][-REACH:]
             if pairs:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in zip(*pairs)], ["a", "b"])
 
