@@ -28,13 +28,24 @@ def fold_of(doc_id: Column, folds: int) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % F.lit(folds)
 
 
+def free_name(df: DataFrame, wanted: str) -> str:
+    """``wanted``, with underscores added until no column of ``df`` has the name, in any case of letters."""
+    taken = {c.lower() for c in df.columns}
+    while wanted.lower() in taken:
+        wanted += "_"
+    return wanted
+
+
 def map_rows(df: DataFrame, columns: list[str], function: Callable[[list[list]], list[list]], added: StructType) -> DataFrame:
     """Rows of ``df`` with columns computed batch by batch; nothing is shuffled.
 
-    ``function`` gets the values of ``columns`` as lists and returns one list for each added column.
+    ``function`` gets the values of ``columns`` as lists and returns one list for each added column. A
+    column of ``df`` that has the name of an added one is replaced by it.
     """
     small_batches(df.sparkSession)
-    schema = StructType([*df.schema.fields, *added.fields])
+    names = {f.name.lower() for f in added.fields}
+    kept = [i for i, f in enumerate(df.schema.fields) if f.name.lower() not in names]
+    schema = StructType([*[df.schema.fields[i] for i in kept], *added.fields])
     places = [df.columns.index(c) for c in columns]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -43,8 +54,8 @@ def map_rows(df: DataFrame, columns: list[str], function: Callable[[list[list]],
         out = to_arrow_schema(schema)
         for batch in batches:
             made = function([batch.column(i).to_pylist() for i in places])
-            arrays = [batch.column(i).cast(out.field(i).type) for i in range(batch.num_columns)]
-            arrays += [pa.array(v, type=out.field(batch.num_columns + i).type) for i, v in enumerate(made or [[]] * len(added))]
+            arrays = [batch.column(i).cast(out.field(k).type) for k, i in enumerate(kept)]
+            arrays += [pa.array(v, type=out.field(len(kept) + i).type) for i, v in enumerate(made or [[]] * len(added))]
             yield pa.RecordBatch.from_arrays(arrays, schema=out)
 
     return df.mapInArrow(run, schema)

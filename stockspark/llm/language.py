@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from itertools import combinations
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructType
 
@@ -29,6 +29,7 @@ FAMILY_OF = {code: family for family, codes in FAMILIES.items() for code in code
 
 BITS = 13
 DOCS_PER_LANGUAGE = 400
+LANGUAGES = 64
 CHUNK = 1 << 20
 UNKNOWN = "und"
 
@@ -160,30 +161,41 @@ def fit(rows: list[tuple[str, str]]) -> LanguageModel:
     return LanguageModel(families, Machines(pairs, np.stack(weights, 1).astype(np.float32), np.array(offsets)))
 
 
-def training_rows(docs: DataFrame, lang: str = "lang", per_language: int = DOCS_PER_LANGUAGE, fold: int | None = 1) -> list[tuple[str, str]]:
-    """About ``per_language`` labelled texts of each language, chosen by a hash of the id.
+def training_rows(
+    docs: DataFrame, lang: str = "lang", per_language: int = DOCS_PER_LANGUAGE, fold: int | None = 1, most_languages: int = LANGUAGES
+) -> list[tuple[str, str]]:
+    """About, and at most, ``per_language`` different labelled texts of each language, chosen by a hash of the text.
 
-    Rows of the held-out fold are left out. The number of rows fetched is bounded by the number of
-    languages times ``per_language``; the draw keeps the hot source's share.
+    Rows of the held-out fold are left out. Copies, repeated ids and null ids count by their texts, so no
+    id is drawn whole. The rows fetched are bounded by ``most_languages * per_language``; more languages
+    than that raise an error, as the machines grow with the square of their number.
     """
     known = docs.where(F.col(lang).isNotNull() & F.col("text").isNotNull())
     if fold is not None:
         known = known.where(fold_of(F.col("doc_id"), 3) != fold)
-    counts = {r[0]: r[1] for r in known.groupBy(lang).count().collect()}
+    texts = known.groupBy(lang).agg(F.approx_count_distinct("text").alias("n"))
+    counts = {r[0]: r[1] for r in texts.limit(most_languages + 1).collect()}
     if not counts:
         return []
+    if len(counts) > most_languages:
+        raise ValueError(f"more than {most_languages} languages")
     chance = F.lit(0.0)
     for g, n in sorted(counts.items()):
-        chance = F.when(F.col(lang) == g, F.lit(min(1.0, per_language / n))).otherwise(chance)
-    drawn = known.where(unit_hash(F.col("doc_id"), F.lit(3)) < chance).select("text", lang)
-    return sorted((r[0], r[1]) for r in drawn.collect())
+        chance = F.when(F.col(lang) == g, F.lit(min(1.0, per_language / max(1, n)))).otherwise(chance)
+    draw = unit_hash(F.col("text"), F.lit(3))
+    drawn = known.where(draw < chance).groupBy(F.col(lang).alias("lang"), draw.alias("draw")).agg(F.min("text").alias("text"))
+    # About per_language rows a language are left here.
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("draw"))
+    return sorted((r[0], r[1]) for r in drawn.withColumn("place", place).where(F.col("place") <= per_language).select("text", "lang").collect())
 
 
 def identify(docs: DataFrame, model: LanguageModel, text: str = "text", language: str = "lang_pred", score: str = "score") -> DataFrame:
     """``docs`` with the predicted language and a score in [0, 1].
 
     Null texts and texts without letters get ``und`` and 0. Rows are scored one by one, so repeated
-    rows get equal results, and an empty table stays empty. Only the text is an input.
+    rows get equal results, and an empty table stays empty. Only the text is an input. Very long texts are
+    read whole, piece by piece; equal margins go to the first language by name. A column of ``docs``
+    named like an added one is replaced.
     """
 
     def run(columns: list[list]) -> list[list]:

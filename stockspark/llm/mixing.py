@@ -25,6 +25,8 @@ MARGINS = ("source", "lang", "topic")
 MIN_SHARE = 0.001
 TEMPERATURE = 0.5
 RATE = 0.5
+BROADCAST_CELLS = 200_000
+ADDED = ("source", "lang", "topic", "tokens", "weight", "probability", "sampled", "source_cell", "lang_cell", "topic_cell")
 
 
 def token_count(text: Column) -> Column:
@@ -55,6 +57,19 @@ class Mix:
     rounds: int
     gap: float
 
+    def margins(self, targets: dict[str, dict[str, float]]) -> list[tuple[str, str, float, float, float]]:
+        """(margin, value, target, raked, drawn): shares of tokens asked for, reached by the weights, and expected
+        in the sample. They differ where a target has no tokens, cells are whole, or targets contradict each other.
+        """
+        found = []
+        weighed, drawn = (sum(r[3] * r[at] for r in self.rows) or 1.0 for at in (4, 5))
+        for axis, name in enumerate(MARGINS):
+            for value in sorted({*targets[name], *(r[axis] for r in self.rows)}):
+                cells = [r for r in self.rows if r[axis] == value]
+                shares = [sum(r[3] * r[at] for r in cells) / total for at, total in ((4, weighed), (5, drawn))]
+                found.append((name, value, targets[name].get(value, 0.0), *shares))
+        return found
+
 
 def cells_of(docs: DataFrame) -> DataFrame:
     """``docs`` with __source, __lang, __topic and __tokens; null keys become "other"."""
@@ -165,10 +180,11 @@ def mix(docs: DataFrame, targets: dict[str, dict[str, float]] | None = None, rat
     """``docs`` with n_tokens, topic, weight, probability and sampled under ``__`` names.
 
     Null sources and languages and values without a target count as "other". A document without
-    tokens has the weight of its cell, or 0 in a cell without any. Repeated rows are drawn alike. An
-    empty table stays empty.
+    tokens has the weight of its cell, or 0 in a cell without any. Repeated rows are drawn alike; very long
+    texts are counted whole. An empty table stays empty. Columns of ``docs`` with a ``__`` name of ADDED are
+    replaced; ``Mix.margins`` of ``calibrate`` tells how far the targets were reached.
     """
-    cells = cells_of(docs)
+    cells = cells_of(docs.drop(*[f"__{name}" for name in ADDED]))
     sums = cell_sums(cells)
     targets = targets or default_targets(sums)
     found = calibrate(sums, targets, rate)
@@ -178,8 +194,9 @@ def mix(docs: DataFrame, targets: dict[str, dict[str, float]] | None = None, rat
     weights = spark.createDataFrame(
         found.rows, "__source_cell string, __lang_cell string, __topic_cell string, __n long, __weight double, __probability double"
     ).drop("__n")
-    # One short row for each named cell: bounded by the product of the target tables.
-    joined = cells.withColumns(keys).join(F.broadcast(weights), list(keys), "left")
+    # One short row for each cell with documents; its number is known here, and a larger table is not broadcast.
+    weights = F.broadcast(weights) if len(found.rows) <= BROADCAST_CELLS else weights
+    joined = cells.withColumns(keys).join(weights, list(keys), "left")
     return joined.withColumns(
         {
             "__weight": F.coalesce("__weight", F.lit(0.0)),

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stockspark.llm.common import mix64, row_key, small_batches
+from stockspark.llm.common import free_name, mix64, row_key, small_batches
 from stockspark.llm.contamination import shingle_hashes, word_hashes, words_of
 from stockspark.session import materialise
 
@@ -393,10 +393,13 @@ def find(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
 def deduplicate(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     """``docs`` with one row of each class, that of the lowest id; texts without words all stay.
 
-    Rows are told by id and text, so different texts under one id, or without one, are all judged.
+    Rows are told by id and text, so different texts under one id, or without one, are all judged. Of rows
+    with one id and text one stays. Very long texts are read whole; an empty table stays empty; all other
+    columns stay, whatever their names.
     """
+    name = free_name(docs, "__row")
     _, classed, _ = solved(docs.select("doc_id", "text"), least)
-    kept = classed.groupBy("label").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("of")).select(F.col("of.row").alias("__kept"))
+    kept = classed.groupBy("label").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("of")).select(F.col("of.row").alias(name))
     worded = F.coalesce(F.col("text"), F.lit("")).rlike(WORDED)
-    one = docs.where(worded).withColumn("__row", row_key()).join(kept, F.col("__row") == kept["__kept"], "left_semi").dropDuplicates(["__row"]).drop("__row")
+    one = docs.where(worded).withColumn(name, row_key()).join(kept, name, "left_semi").dropDuplicates([name]).select(*docs.columns)
     return one.unionByName(docs.where(~worded))

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, StringType, StructType
 
 from stockspark.llm import tagger
-from stockspark.llm.common import map_rows, small_batches, unit_hash
+from stockspark.llm.common import free_name, map_rows, small_batches, unit_hash
 from stockspark.llm.patterns import KINDS, base_spans
 
 TRAINING_DOCS = 6000
@@ -34,36 +34,45 @@ SHAPES = (
     re.compile(r"(?:[0-9][ .-]?){12,19}"),
     re.compile(r"(?:\+|\(|00)?(?:[0-9][ ().-]{0,2}){9,15}"),
 )
+SPANS = "array<struct<s:int,k:int,e:int>>"
 MASKS = tuple(f"<{k.upper()}>" for k in KINDS)
 
 
 def training_windows(docs: DataFrame, most_docs: int = TRAINING_DOCS) -> list[tuple[str, list[tuple[int, int, int]]]]:
-    """Windows of at most about ``most_docs`` documents, drawn by a hash of the id, with base spans.
+    """Windows of at most ``most_docs`` different texts, drawn by a hash of the text, with base spans.
 
-    At most WINDOWS_PER_DOC windows around spans and one more come from a document.
+    At most WINDOWS_PER_DOC windows around spans and one more come from a text. Copies, repeated ids and
+    null ids count by their texts. Windows are cut inside the scan, so no long text is moved.
     """
     small_batches(docs.sparkSession)
-    total = docs.count()
+    known = docs.where(F.col("text").isNotNull())
+    total = known.agg(F.approx_count_distinct("text")).first()[0]
     if not total:
         return []
-    drawn = docs.where((unit_hash(F.col("doc_id"), F.lit(1)) < min(1.0, most_docs / total)) & F.col("text").isNotNull())
+    draw = unit_hash(F.col("text"), F.lit(1))
+    drawn = known.where(draw < min(1.0, most_docs / total)).select("text", draw.alias("draw"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = {"window": [], "spans": []}
+            out = {"draw": batch.column(1), "windows": []}
             for text in batch.column(0).to_pylist():
+                windows = []
                 spans = base_spans(text)
                 starts = [max(0, s - 7 - (s * 7919 + len(text)) % 24) for s, _, _ in spans[:WINDOWS_PER_DOC]]
                 starts.append((len(text) * 31) % max(1, len(text) - WINDOW))
                 for at in starts:
                     inside = [(max(s, at) - at, k, min(e, at + WINDOW) - at) for s, k, e in spans if s < at + WINDOW and e > at]
-                    out["window"].append(text[at : at + WINDOW])
-                    out["spans"].append([{"s": s, "k": k, "e": e} for s, k, e in inside])
+                    windows.append({"window": text[at : at + WINDOW], "spans": [{"s": s, "k": k, "e": e} for s, k, e in inside]})
+                out["windows"].append(windows)
             yield pa.RecordBatch.from_pydict(out, schema=schema)
 
-    schema = pa.schema([("window", pa.string()), ("spans", pa.list_(pa.struct([("s", pa.int32()), ("k", pa.int32()), ("e", pa.int32())])))])
-    rows = drawn.select("text").mapInArrow(cut, "window string, spans array<struct<s:int,k:int,e:int>>").collect()
-    return sorted((r["window"], [(x["s"], x["k"], x["e"]) for x in r["spans"]]) for r in rows)
+    spans = pa.list_(pa.struct([("s", pa.int32()), ("k", pa.int32()), ("e", pa.int32())]))
+    schema = pa.schema([("draw", pa.float64()), ("windows", pa.list_(pa.struct([("window", pa.string()), ("spans", spans)])))])
+    rows = (
+        drawn.mapInArrow(cut, f"draw double, windows array<struct<window:string,spans:{SPANS}>>")
+        .groupBy("draw").agg(F.min("windows").alias("windows")).orderBy("draw").limit(most_docs).collect()
+    )
+    return sorted((w["window"], [(x["s"], x["k"], x["e"]) for x in w["spans"]]) for r in rows for w in r["windows"])
 
 
 def fit(docs: DataFrame, most_docs: int = TRAINING_DOCS) -> tagger.Tagger | None:
@@ -101,14 +110,13 @@ def whole_token(text: str, s: int, e: int) -> tuple[int, int]:
     return s, e
 
 
-SPANS = "array<struct<s:int,k:int,e:int>>"
-
-
 def find(docs: DataFrame, model: tagger.Tagger | None, text: str = "text") -> DataFrame:
     """``docs`` with __base and __added, arrays of (s, k, e) sorted by start, kind, end.
 
     Positions are code points, ends exclusive, kinds as in KINDS. Null and empty texts have none;
-    repeated rows are read alike; an empty table stays empty.
+    repeated rows are read alike; an empty table stays empty. Very long texts are read whole, in windows.
+    Of tagged spans that overlap, the one with the lower start stays. Columns named __base or __added are
+    replaced.
     """
     as_rows = lambda spans: [{"s": s, "k": k, "e": e} for s, k, e in spans]
 
@@ -140,14 +148,20 @@ def masked(text: str | None, spans: list[tuple[int, int, int]]) -> str | None:
 
 
 def mask(docs: DataFrame, model: tagger.Tagger | None) -> DataFrame:
-    """``docs`` with personal data masked in ``text`` and ``n_chars`` recounted; no row is dropped."""
+    """``docs`` with personal data masked in ``text`` and ``n_chars`` recounted; no row is dropped.
+
+    Null and empty texts, and texts without a span, stay as they are, their ``n_chars`` too. Very long
+    texts are read whole; repeated rows are masked alike; an empty table stays empty; all other columns
+    stay, whatever their names.
+    """
+    new_text, changed_name = free_name(docs, "__masked"), free_name(docs, "__changed")
 
     def run(columns: list[list]) -> list[list]:
         made = [masked(t, [*b, *a]) for t, (b, a) in zip(columns[0], all_spans(columns[0], model))]
         return [made, [m != t for m, t in zip(made, columns[0])]]
 
-    found = map_rows(docs, ["text"], run, StructType().add("__masked", StringType()).add("__changed", BooleanType()))
-    changed = {"text": F.col("__masked")}
+    found = map_rows(docs, ["text"], run, StructType().add(new_text, StringType()).add(changed_name, BooleanType()))
+    changed = {"text": F.col(new_text)}
     if "n_chars" in docs.columns:
-        changed["n_chars"] = F.when(F.col("__changed"), F.char_length("__masked").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
+        changed["n_chars"] = F.when(F.col(changed_name), F.char_length(new_text).cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
     return found.select(*[changed.get(c, F.col(c)).alias(c) for c in docs.columns])

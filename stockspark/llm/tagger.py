@@ -122,15 +122,18 @@ def emissions(model: Tagger, x: np.ndarray) -> np.ndarray:
 def best_paths(model: Tagger, scores: np.ndarray) -> np.ndarray:
     """Viterbi tags (time, windows) as uint8.
 
-    A window is all "none" for certain where no step can gain by leaving it, even with the best
-    transition; the others are decoded in full.
+    A window is all "none" for certain where no run of other tags can gain, even with the best transition
+    at each of its steps and one more to leave it; the others are decoded in full.
     """
     steps, _, n = scores.shape
     tags = np.zeros((steps, n), dtype=np.uint8)
     gain = float(max(model.moves.max(), 0.0) - model.moves[0, 0])
     lead = (scores[:, 1:] - scores[:, :1]).max(axis=1) + gain
     lead[0] += max(0.0, float((model.start[1:] - model.start[0]).max()))
-    open_ = np.flatnonzero((lead > 0).any(axis=0))
+    # The best run that ends at a step: the sum up to it less the lowest sum before it.
+    upto = np.cumsum(lead, axis=0, dtype=np.float64)
+    before = np.minimum.accumulate(np.vstack([np.zeros((1, n)), upto[:-1]]), axis=0)
+    open_ = np.flatnonzero((upto - before).max(axis=0) + gain > -1e-6)
     if not len(open_):
         return tags
     s = np.ascontiguousarray(scores[:, :, open_])

@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructType
 
 from stockspark.llm.common import map_rows, small_batches, unit_hash
+from stockspark.session import materialise
 
 LABELLED_DOCS = 24000
 LEXICON = 4000
@@ -148,23 +149,28 @@ class Lexicon:
 def labelled(docs: DataFrame, labels: DataFrame, usable, label: str = "toxic", bound: int = LABELLED_DOCS) -> DataFrame:
     """At most ``bound`` labelled documents as (doc_id, text, label), drawn by a hash of the id.
 
-    The drawn ids are at most ``bound`` short rows, so they are broadcast, and the documents are
-    not shuffled.
+    The drawn ids are at most ``bound`` short rows, so they are broadcast. Of the texts of a repeated id
+    the one with the lowest hash is taken, so that a hot id is one row as well.
     """
     drawn = (
         labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & usable(F.col("doc_id")))
         .groupBy("doc_id").agg(F.max(F.col(label).cast("int")).alias("label"))
         .orderBy(unit_hash(F.col("doc_id"), F.lit(9)), "doc_id").limit(bound)
     )
-    return docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(drawn), "doc_id")
+    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(drawn), "doc_id")
+    lowest = F.min(F.struct(F.xxhash64("text").alias("h"), "text"))
+    one = texts.groupBy("doc_id", "label").agg(lowest.alias("of")).select("doc_id", F.col("of.text").alias("text"), "label")
+    # Read once for each count: at most ``bound`` rows, written once.
+    return materialise(one, "labelled")
 
 
-def learn(sample: DataFrame, lexicon_size: int = LEXICON, min_support: int = MIN_SUPPORT) -> Lexicon:
+def learn(sample: DataFrame, lexicon_size: int = LEXICON, min_support: int = MIN_SUPPORT, most_exceptions: int = EXCEPTIONS) -> Lexicon:
     """A lexicon from (text, label) rows: weights, exception phrases and the logistic function.
 
     Counts of terms are taken in Spark; only terms of at least ``min_support`` toxic documents whose
-    share there is clearly above that in clean ones reach the driver, at most ``lexicon_size``. The
-    logistic function has four parameters and is fitted on three numbers for each labelled document.
+    share there is clearly above that in clean ones reach the driver, at most ``lexicon_size``. Exception
+    phrases are word pairs around a lexicon word whose share in clean documents is clearly above that in
+    toxic ones; the ``most_exceptions`` most frequent are kept. The logistic function has four parameters and is fitted on three numbers for each labelled document.
     """
     spark = sample.sparkSession
     small_batches(spark)
@@ -173,12 +179,24 @@ def learn(sample: DataFrame, lexicon_size: int = LEXICON, min_support: int = MIN
     if not toxic or not clean:
         return Lexicon(slopes=(3.0 if toxic else -3.0, 0.0, 0.0, 0.0))
 
-    def counted(batches: Iterator[pa.RecordBatch], which: str) -> Iterator[pa.RecordBatch]:
+    def counted(batches: Iterator[pa.RecordBatch], weights: dict[str, float] | None) -> Iterator[pa.RecordBatch]:
+        strong: dict[str, bool] = {}
+
+        def near(a: str, b: str) -> bool:
+            for w in (a, b):
+                if w not in strong:
+                    if len(strong) > 200_000:
+                        strong.clear()
+                    strong[w] = any(t in weights for t in terms_of({w}))
+                if strong[w]:
+                    return True
+            return False
+
         bad, good, seen = Counter(), Counter(), 0
         for batch in batches:
             for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 words = fold(text).split()
-                found = set(terms_of(set(words))) if which == "terms" else {f"{a} {b}" for a, b in zip(words, words[1:])}
+                found = set(terms_of(set(words))) if weights is None else {f"{a} {b}" for a, b in zip(words, words[1:]) if near(a, b)}
                 (bad if label else good).update(found)
                 seen += len(found)
                 if seen > 1_000_000:
@@ -193,9 +211,10 @@ def learn(sample: DataFrame, lexicon_size: int = LEXICON, min_support: int = MIN
             schema=pa.schema([("term", pa.string()), ("bad", pa.int64()), ("good", pa.int64())]),
         )
 
-    def counts(which: str, rows: DataFrame = sample) -> DataFrame:
+    def counts(weights: dict[str, float] | None = None) -> DataFrame:
+        """Documents of each label that hold a term, or a word pair around one of ``weights``."""
         return (
-            rows.select("text", "label").mapInArrow(lambda b: counted(b, which), "term string, bad long, good long")
+            sample.select("text", "label").mapInArrow(lambda b: counted(b, weights), "term string, bad long, good long")
             .groupBy("term").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
         )
 
@@ -207,14 +226,14 @@ def learn(sample: DataFrame, lexicon_size: int = LEXICON, min_support: int = MIN
     lexicon = Lexicon(
         {
             r[0]: float(r[1])
-            for r in counts("terms").where((F.col("bad") >= min_support) & (odds > 1.5) & (surplus > 2.0))
+            for r in counts().where((F.col("bad") >= min_support) & (odds > 1.5) & (surplus > 2.0))
             .orderBy((odds * F.sqrt("bad")).desc(), "term").limit(lexicon_size)
             .select("term", odds).collect()
         }
     )
     if not lexicon.weights:
         return Lexicon(slopes=(math.log(toxic / clean), 0.0, 0.0, 0.0))
-    lexicon.exceptions = exception_phrases(counts("pairs", sample.where("label = 0")), clean, lexicon)
+    lexicon.exceptions = exception_phrases(counts(lexicon.weights), toxic, clean, lexicon, most_exceptions)
 
     measured = map_rows(
         sample.select("text", "label"), ["text"], lambda c: [list(v) for v in zip(*map(lexicon.measures, c[0]))],
@@ -225,15 +244,13 @@ def learn(sample: DataFrame, lexicon_size: int = LEXICON, min_support: int = MIN
     return lexicon
 
 
-def exception_phrases(pairs: DataFrame, clean: int, lexicon: Lexicon, most: int = EXCEPTIONS) -> dict[str, float]:
-    """Word pairs around a lexicon word that many clean documents hold; each takes back the weight."""
-    found = {}
-    common = pairs.where(F.col("good") >= max(5, clean // 2000)).orderBy(F.col("good").desc(), "term").limit(50_000)
-    for row in common.collect():
-        weight = max((heaviest(w, lexicon) for w in row[0].split()), default=0.0)
-        if weight > 0 and len(found) < most:
-            found[row[0]] = weight
-    return found
+def exception_phrases(pairs: DataFrame, toxic: int, clean: int, lexicon: Lexicon, most: int = EXCEPTIONS) -> dict[str, float]:
+    """Word pairs around a lexicon word with a clearly higher share in clean documents; each takes back the weight."""
+    good, bad = F.col("good") / F.lit(float(clean)), F.col("bad") / F.lit(float(toxic))
+    spread = F.sqrt(F.col("good") / F.lit(float(clean)) ** 2 + (F.col("bad") + 1.0) / F.lit(float(toxic)) ** 2)
+    common = pairs.where((F.col("good") >= max(5, clean // 2000)) & ((good - bad) / spread > 2.0))
+    rows = common.orderBy(F.col("good").desc(), "term").limit(most).collect()
+    return {r[0]: max((heaviest(w, lexicon) for w in r[0].split()), default=0.0) for r in rows}
 
 
 def heaviest(word: str, lexicon: Lexicon) -> float:
@@ -257,7 +274,8 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, steps: int = 40)
 def rate(docs: DataFrame, lexicon: Lexicon, text: str = "text", score: str = "score") -> DataFrame:
     """``docs`` with a score in [0, 1]; null and empty texts have no hits and get the lowest score.
 
-    Rows are scored one by one from their text alone.
+    Rows are scored one by one from their text alone, so repeated rows get equal scores; very long texts
+    are read whole; an empty table stays empty; a column of ``docs`` named like the score is replaced.
     """
     lexicon.automaton()
     return map_rows(docs, [text], lambda c: [[lexicon.score(t) for t in c[0]]], StructType().add(score, DoubleType()))
