@@ -13,15 +13,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stockspark.llm import contamination, language, mixing, neardup, pii
-from stockspark.llm.common import table
+from stockspark.llm.common import free_name, table
 from stockspark.session import materialise
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose text has a language; null texts and texts without letters go."""
     model = language.fit(language.training_rows(docs.select("doc_id", "text", "lang")))
-    found = language.identify(docs, model, language="__language", score="__score")
-    return found.where(F.col("__language") != language.UNKNOWN).select(*docs.columns)
+    name, score = free_name(docs, "__language"), free_name(docs, "__score")
+    return language.identify(docs, model, language=name, score=score).where(F.col(name) != language.UNKNOWN).select(*docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,9 +44,15 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     A column of the documents that has the name of an added one stays as it is.
     """
-    found = mixing.mix(docs).where("__sampled")
+    # Columns with a name that mixing uses wait under another one.
+    used = {f"__{name}" for name in mixing.ADDED}
+    aside = {c: free_name(docs, f"{c}_kept") for c in docs.columns if c.lower() in used}
+    found = mixing.mix(docs.withColumnsRenamed(aside)).where("__sampled")
     added = {"topic": "__topic", "weight": "__weight", "probability": "__probability"}
-    return found.select(*docs.columns, *[F.col(c).alias(n) for n, c in added.items() if n not in docs.columns])
+    taken = {c.lower() for c in docs.columns}
+    return found.select(
+        *[F.col(aside.get(c, c)).alias(c) for c in docs.columns], *[F.col(c).alias(n) for n, c in added.items() if n not in taken]
+    )
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
