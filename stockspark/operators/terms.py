@@ -10,6 +10,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from stockspark.operators.heavy import hot_keys, spread_join
 from stockspark.session import materialise
 
 MIN_DOCS, MAX_SHARE, ALPHA = 2, 0.95, 0.1
@@ -68,9 +69,14 @@ def salted_join(facts: DataFrame, lookup: DataFrame, column: str, spread: str, s
 
 
 def weigh(counts: DataFrame, vocab: DataFrame, key: str) -> DataFrame:
-    """Sublinear term weights of unit length per document: ``key``, ``term``, ``weight``."""
+    """Sublinear term weights of unit length per document: ``key``, ``term``, ``weight``.
+
+    Hot terms are found by a sketch of the counts and spread by their measured frequency.
+    """
+    # Reading through ``tf`` keeps the exchange of ``counts`` the same for all its readers.
+    hot = hot_keys(counts, "term", F.col("tf") > 0)
     raw = (F.lit(1.0) + F.log(F.col("tf").cast("double"))) * F.col("idf")
-    rows = salted_join(counts, vocab.select("term", "idf"), "term", key).select(key, "term", raw.alias("raw"))
+    rows = spread_join(counts, vocab.select("term", "idf"), "term", key, hot).select(key, "term", raw.alias("raw"))
     # One document's terms: bounded by the length of the document.
     length = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy(key)))
     return rows.select(key, "term", (F.col("raw") / length).alias("weight"))
@@ -125,13 +131,14 @@ class NaiveBayes:
 
     def scores(self, docs: DataFrame, key: str, words: str) -> DataFrame:
         """Joint log score of each document and class: ``key``, ``label``, ``score``."""
-        weights = weigh(term_counts(docs, key, words), self.vocab, key)
+        counts = term_counts(docs, key, words)
+        weights = weigh(counts, self.vocab, key)
         mass = weights.groupBy(key).agg(F.sum("weight").alias("_mass"))
         # One short list of classes, the same for each document.
         classes = self.classes.agg(F.collect_list(F.struct("label", "prior", "floor"))).scalar()
         grid = docs.select(key).join(mass, key, "left").select(key, "_mass", F.inline(classes))
         gained = (
-            salted_join(weights, self.terms, "term", key)
+            spread_join(weights, self.terms, "term", key, hot_keys(counts, "term", F.col("tf") > 0))
             .groupBy(key, "label")
             .agg(F.sum(F.col("weight") * F.col("gain")).alias("_gained"))
         )
