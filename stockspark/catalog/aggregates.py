@@ -33,8 +33,8 @@ from stockspark.operators.profile import (
 from stockspark.operators.ranks import exact_median, exact_quantiles
 from stockspark.plans import derived
 
-PROFILED = ("Weekly_Sales", "Units", "Size", "Temperature", "CPI", "MarkDown1")
-DRIVERS = ("Temperature", "Fuel_Price", "CPI", "Unemployment", "Size")
+DRIVERS = ("Store", "Dept", "Units", "Size", "Temperature", "Fuel_Price", *MARKS, "CPI", "Unemployment")
+PROFILED = ("Weekly_Sales", *DRIVERS)
 
 
 def totals_by_date(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -88,7 +88,7 @@ def missing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def described(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return shown(describe_numeric(inputs.merged(spark, sf_dir), PROFILED))
+    return shown(describe_numeric(inputs.merged(spark, sf_dir)))
 
 
 def described_categories(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -20,7 +20,8 @@ from stockspark.operators.accuracy import (
     with_family,
     with_saved_model,
 )
-from stockspark.operators.inventory import demand_statistics
+from stockspark.operators.inventory import period_demand_statistics
+from stockspark.operators.periods import period_totals
 from stockspark.plans.logs import parse_logs
 
 
@@ -115,8 +116,12 @@ def test_actuals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def demand_over_test(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = demand_statistics(actuals_in_period(logged_periods(spark, sf_dir), inputs.sales(spark, sf_dir)))
-    return shown(found, 1)
+    return shown(period_demand_statistics(period_totals(logged_periods(spark, sf_dir), inputs.sales(spark, sf_dir))), 2)
+
+
+def totals_in_period(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = period_totals(logged_periods(spark, sf_dir), inputs.sales(spark, sf_dir))
+    return shown(found.select("Store", "Dept", "Model", "n_rows", F.col("total").cast("double").alias("total")), 2)
 
 
 def _means(by: str) -> str:
@@ -200,9 +205,21 @@ ENTRIES = {
     "demand_over_test_period": (
         demand_over_test,
         query(
-            f"""SELECT l.Store, l.Dept, Model, {rounded('round_even(avg(s.Weekly_Sales), 2)', 1)} AS avg_weekly_demand,
-            {rounded('round_even(max(RMSE), 2)', 1)} AS std_dev_weekly_demand
-            FROM logs l JOIN sales s ON l.Store = s.Store AND l.Dept = s.Dept AND s.Date BETWEEN test_lo AND test_hi GROUP BY ALL""",
+            # Half to even on whole ten-thousandths, as ties are frequent and doubles cannot state them.
+            f"""SELECT Store, Dept, Model, {rounded('(q + CASE WHEN 2 * r > m OR (2 * r = m AND q % 2 = 1) THEN 1 ELSE 0 END) / 100.0::DOUBLE', 2)} AS avg_weekly_demand,
+            {rounded('round_even(e, 2)', 2)} AS std_dev_weekly_demand
+            FROM (SELECT *, s // m AS q, s % m AS r FROM (
+              SELECT l.Store, l.Dept, Model, CAST(sum(CAST(s.Weekly_Sales * 10000 AS DECIMAL(28, 0))) AS BIGINT) AS s, 100 * count(*) AS m, max(RMSE) AS e
+              FROM logs l JOIN sales s ON l.Store = s.Store AND l.Dept = s.Dept AND s.Date BETWEEN test_lo AND test_hi GROUP BY ALL))""",
+            "logs", "sales",
+        ),
+    ),
+    "totals_in_test_period": (
+        totals_in_period,
+        query(
+            f"""SELECT l.Store, l.Dept, Model, count(s.Date) AS n_rows, {rounded('sum(s.Weekly_Sales)', 2)} AS total
+            FROM (SELECT *, row_number() OVER () AS k FROM logs) l
+            LEFT JOIN sales s ON l.Store = s.Store AND l.Dept = s.Dept AND s.Date BETWEEN test_lo AND test_hi GROUP BY k, l.Store, l.Dept, Model""",
             "logs", "sales",
         ),
     ),

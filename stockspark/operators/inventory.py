@@ -51,6 +51,15 @@ def demand_statistics(logged: DataFrame, by: Sequence[str] = (*KEYS, "Model")) -
     )
 
 
+def period_demand_statistics(totals: DataFrame, by: Sequence[str] = (*KEYS, "Model")) -> DataFrame:
+    """The same as ``demand_statistics``, from the sums of ``period_totals`` over each logged run."""
+    mean = F.try_divide(F.sum("total").cast("double"), F.sum("n_values"))
+    return totals.where("n_rows > 0").groupBy(*by).agg(
+        F.coalesce(F.bround(mean, 2), F.lit(DEFAULTS["avg_weekly_demand"])).alias("avg_weekly_demand"),
+        F.coalesce(F.bround(F.max("RMSE"), 2), F.lit(DEFAULTS["std_dev_weekly_demand"])).alias("std_dev_weekly_demand"),
+    )
+
+
 def policy_parameters(df: DataFrame) -> DataFrame:
     """EOQ, Safety_Stock and ROP for every row of inputs."""
     require_columns(df, DEFAULTS)

@@ -78,15 +78,26 @@ def long_form(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) ->
 
 
 def describe_numeric(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Count, mean, std, min, quartiles and max of each numeric column."""
-    long = long_form(df, numeric_columns(df) if columns is None else columns)
-    stats = long.groupBy("column").agg(
-        F.count("value").alias("count"),
-        F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("std"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
-    )
+    """Count, mean, std, min, quartiles and max of each numeric column; count 0 and NULLs for an empty one.
+
+    All but the quartiles come from one pass that gives one row a task; only the quartiles need the values
+    by column.
+    """
+    columns = numeric_columns(df) if columns is None else list(columns)
+    long = long_form(df, columns)
+
+    def measures(name: str) -> Column:
+        value = F.col(name).cast("double")
+        return F.struct(
+            F.lit(name).alias("column"),
+            F.count(value).alias("count"),
+            F.avg(value).alias("mean"),
+            F.stddev_samp(value).alias("std"),
+            F.min(value).alias("min"),
+            F.max(value).alias("max"),
+        )
+
+    stats = df.agg(F.array(*[measures(c) for c in columns]).alias("_s")).select(F.inline("_s"))
     quartiles = exact_quantiles(long, "value", [0.25, 0.5, 0.75], ["column"])
     return stats.join(quartiles, "column", "left").select(
         "column",

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stockspark.operators.accuracy import actuals_in_period
-from stockspark.operators.inventory import demand_statistics, policy_parameters, replay, with_defaults
+from stockspark.operators.inventory import period_demand_statistics, policy_parameters, replay, with_defaults
+from stockspark.operators.periods import period_totals
 from stockspark.operators.series import KEYS, tiled_history
 
 
@@ -21,8 +21,8 @@ def demand_inputs(sales: DataFrame, costs: DataFrame, demand: str = "Units") ->
 def logged_inputs(logs: DataFrame, sales: DataFrame) -> DataFrame:
     """Inputs from logged runs: demand over the test period, RMSE as its deviation."""
     usable = logs.where(F.col("RMSE").isNotNull() & F.col("period_start").isNotNull())
-    logged = actuals_in_period(usable.select(*KEYS, "Model", "RMSE", "period_start", "period_end"), sales)
-    return with_defaults(demand_statistics(logged))
+    logged = period_totals(usable.select(*KEYS, "Model", "RMSE", "period_start", "period_end"), sales)
+    return with_defaults(period_demand_statistics(logged))
 
 
 def inventory_plan(sales: DataFrame, costs: DataFrame, demand: str = "Units") -> DataFrame:
