@@ -191,9 +191,9 @@ ENTRIES = {
     "aligned_forecast": (
         aligned,
         query(
-            f"""SELECT {_forecast_pick} FROM (SELECT w.Store, w.Dept, w.Date, w.Weekly_Sales, coalesce(f.yhat, 0) AS yhat
-            FROM weekly w LEFT JOIN naive f ON w.Store = f.Store AND w.Dept = f.Dept AND w.Date = f.Date)""",
-            "weekly", "naive",
+            f"""SELECT {_forecast_pick} FROM (SELECT Store, Dept, Date, Weekly_Sales, CASE WHEN n > 52 AND rn > n - 52 THEN last_train ELSE 0.0 END AS yhat
+            FROM (SELECT *, max(CASE WHEN rn = n - 52 THEN Weekly_Sales END) OVER (PARTITION BY Store, Dept) AS last_train FROM placed))""",
+            "placed",
         ),
     ),
     "aligned_known": (
@@ -215,9 +215,10 @@ ENTRIES = {
     "future_seasonal_naive": (
         future_seasonal,
         query(
-            f"""SELECT t.Store, t.Dept, CAST(k AS INTEGER) AS step, CAST(t.Date + CAST(7 * k AS INTEGER) AS VARCHAR) AS Date, {rounded('p.Weekly_Sales')} AS yhat
-            FROM placed t, range(1, 105) r(k), placed p WHERE t.rn = t.n AND t.n >= 52 AND p.Store = t.Store AND p.Dept = t.Dept
-            AND p.rn = t.n - 52 + (k - 1) % 52 + 1""",
+            f"""SELECT Store, Dept, CAST(k AS INTEGER) AS step, CAST(hi + CAST(7 * k AS INTEGER) AS VARCHAR) AS Date, {rounded('y[(k - 1) % 52 + 1]')} AS yhat
+            FROM (SELECT Store, Dept, hi, y, unnest(range(1, 105)) AS k FROM (
+                SELECT Store, Dept, max(Date) AS hi, list(Weekly_Sales ORDER BY Date) FILTER (WHERE rn > n - 52) AS y
+                FROM placed WHERE n >= 52 GROUP BY Store, Dept))""",
             "placed",
         ),
     ),

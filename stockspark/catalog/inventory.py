@@ -56,7 +56,7 @@ def parameters(spark: SparkSession, sf_dir: str) -> DataFrame:
 def parameters_from_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Policy from logged runs: demand of the test period, RMSE as its deviation."""
     plan = policy_parameters(logged_inputs(logged_periods(spark, sf_dir), inputs.sales(spark, sf_dir)))
-    return shown(plan.select("Store", "Dept", "Model", (F.round(F.col("EOQ") / 10) * 10).alias("EOQ_tens")))
+    return shown(plan.select("Store", "Dept", "Model", "EOQ", "Safety_Stock", "ROP"))
 
 
 def costs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -238,11 +238,15 @@ ENTRIES = {
     "inventory_parameters_from_logs": (
         parameters_from_logs,
         query(
-            f"""SELECT Store, Dept, Model, {rounded('round(EOQ / 10) * 10')} AS EOQ_tens FROM (
-            SELECT *, round_even(sqrt(2.0::DOUBLE * (d * 52.0::DOUBLE) * 50 / (10.0::DOUBLE * (20.0::DOUBLE / 100))), 0) AS EOQ FROM (
-            SELECT l.Store, l.Dept, Model, round_even(avg(s.Weekly_Sales), 2) AS d
-            FROM logs l JOIN sales s ON l.Store = s.Store AND l.Dept = s.Dept AND s.Date BETWEEN test_lo AND test_hi GROUP BY ALL))""",
+            f"SELECT {pick('Store Dept Model', '', 'EOQ Safety_Stock ROP')} FROM ({_policy('logged')})",
             "logs", "sales",
+            extra={
+                "logged": """SELECT l.Store, l.Dept, Model, round_even(avg(s.Weekly_Sales), 2) AS avg_weekly_demand,
+                    round_even(max(RMSE), 2) AS std_dev_weekly_demand, 10.0::DOUBLE AS item_cost_per_unit, 50.0::DOUBLE AS ordering_cost_per_order,
+                    20.0::DOUBLE AS annual_holding_rate_percent, 4.0::DOUBLE AS avg_lead_time_weeks,
+                    1.0::DOUBLE AS std_dev_lead_time_weeks, 95.0::DOUBLE AS target_service_level_percent
+                FROM logs l JOIN sales s ON l.Store = s.Store AND l.Dept = s.Dept AND s.Date BETWEEN test_lo AND test_hi GROUP BY l.Store, l.Dept, Model"""
+            },
         ),
     ),
     "annual_costs": (costs, _cost_rows()),

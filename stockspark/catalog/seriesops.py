@@ -171,6 +171,25 @@ def _acf_query(source: str, lags: int, where: str = "") -> str:
     return query(text, source, extra=_acf_parts(source))
 
 
+def _pacf_query(source: str, lags: int) -> str:
+    """The recursion over lags, with the coefficients of the last lag carried as a list."""
+    parts = {
+        **_acf_parts(source),
+        "acfs": f"""SELECT Store, Dept, list(acf ORDER BY lag) AS r FROM (
+            SELECT d.Store, d.Dept, k AS lag, coalesce(sum(d.d * e.d), 0) / max(d.v) AS acf
+            FROM d CROSS JOIN range({lags + 1}) r(k) LEFT JOIN d e ON d.Store = e.Store AND d.Dept = e.Dept AND e.rn = d.rn - k
+            GROUP BY d.Store, d.Dept, k) GROUP BY Store, Dept""",
+        "steps": f"""WITH RECURSIVE run AS (
+            SELECT Store, Dept, r, 0 AS k, 1.0::DOUBLE AS a, CAST([] AS DOUBLE[]) AS phi FROM acfs
+            UNION ALL
+            SELECT Store, Dept, r, k + 1, b, list_concat(list_transform(phi, lambda p, j: p - b * phi[k + 1 - j]), [b])
+            FROM (SELECT *, (r[k + 2] - coalesce(list_sum(list_transform(phi, lambda p, j: p * r[k + 2 - j])), 0))
+                    / (1 - coalesce(list_sum(list_transform(phi, lambda p, j: p * r[j + 1])), 0)) AS b FROM run WHERE k < {lags}))
+        SELECT Store, Dept, k, a FROM run""",
+    }
+    return query(f"SELECT Store, Dept, CAST(k AS INTEGER) AS lag, {rounded('a', 6)} AS pacf FROM steps", source, extra=parts)
+
+
 ENTRIES = {
     "forward_fill": (
         filled_forward,
@@ -237,7 +256,7 @@ ENTRIES = {
     ),
     "autocorrelation": (acf, _acf_query("weekly", ACF_LAGS)),
     "autocorrelation_short": (short_acf, _acf_query("sales", 40, "WHERE n > 30 AND lag <= least(40, n // 2 - 1)")),
-    "partial_autocorrelation": (pacf, None),
+    "partial_autocorrelation": (pacf, _pacf_query("weekly", ACF_LAGS)),
     "sequence_windows": (
         sequence_windows,
         query(

@@ -58,10 +58,9 @@ def _enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _judged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Manual category against a stand-in prediction, so that the report itself can be compared."""
-    labelled = derived.news(spark, sf_dir).where(F.col("risk_category").isNotNull())
-    other = F.when(F.col("id") % 5 == 0, "Market Volatility").when(F.col("id") % 7 == 0, "Labor Dispute")
-    return labelled.select("id", "risk_category", F.coalesce(other, F.col("risk_category")).alias("predicted"))
+    """Manual category against the predicted one, for all items that have a category."""
+    labelled = _worded(spark, sf_dir).where(F.col("risk_category").isNotNull()).select("id", "risk_category")
+    return labelled.join(bayes_predictions(spark, sf_dir), "id")
 
 
 def _valued(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -116,7 +115,8 @@ def bayes_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bayes_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _model(spark, sf_dir).predict(_worded(spark, sf_dir), "id", "words")
+    """The category of every item; fitted and predicted once, as reports read it too."""
+    return inputs.once(spark, sf_dir, "predicted", lambda: _model(spark, sf_dir).predict(_worded(spark, sf_dir), "id", "words"))
 
 
 def stored_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -279,8 +279,9 @@ _bayes = {
         FROM docs d CROSS JOIN classes c LEFT JOIN total t ON t.id = d.id LEFT JOIN gained g ON g.id = d.id AND g.label = c.label""",
 }
 _judged_sql = {
-    "judged": """SELECT id, risk_category AS a, CASE WHEN id % 5 = 0 THEN 'Market Volatility' WHEN id % 7 = 0 THEN 'Labor Dispute' ELSE risk_category END AS p
-    FROM news WHERE risk_category IS NOT NULL""",
+    **_bayes,
+    "judged": """SELECT id, risk_category AS a, p
+    FROM known JOIN (SELECT id, arg_min(label, (-score, label)) AS p FROM final GROUP BY id) USING (id)""",
     "per": """SELECT label, coalesce(tp / nullif(claimed, 0), 0.0) AS precision, coalesce(tp / nullif(held, 0), 0.0) AS recall, held AS support FROM (
         SELECT label, count(*) FILTER (WHERE a = p AND a = label) AS tp, count(*) FILTER (WHERE p = label) AS claimed, count(*) FILTER (WHERE a = label) AS held
         FROM judged, (SELECT a AS label FROM judged UNION SELECT p FROM judged) GROUP BY label)""",
