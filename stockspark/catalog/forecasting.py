@@ -24,8 +24,9 @@ from stockspark.operators.series import exogenous_frame
 from stockspark.operators.splits import split_by_date, split_last_n, split_ratio, split_stratified
 from stockspark.operators.trees import BOOSTED, FOREST, KINDS
 from stockspark.plans import derived
-from stockspark.plans.regression import compare_trees
+from stockspark.plans.regression import compare_trees, rescore_stored
 from stockspark.plans.series import compare_series, forecast_ahead
+from stockspark.session import scratch_path
 
 FORECAST = ("Store", "Dept", "Date", "Weekly_Sales", "yhat")
 SPLIT = ("Store", "Dept", "Date", "Weekly_Sales", "is_test")
@@ -131,6 +132,39 @@ def pooled_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compare_trees(inputs.featured(spark, sf_dir), configs, inputs.STAMP)
 
 
+def stored_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The boosted model of the squared loss, stored, found by its logged path, loaded and scored again."""
+    featured = inputs.featured(spark, sf_dir)
+    log = compare_trees(featured, {KINDS[1]: BOOSTED}, inputs.STAMP, save_to=scratch_path(spark, "trees"))
+    return shown(rescore_stored(featured, log).drop("model_path"))
+
+
+# The regression of ``fourier_regression``: sums of products scaled to a unit diagonal, a ridge on all but the intercept,
+# and elimination column by column. The last column of a row is the right side.
+_SIZE = 9
+_waves = ", ".join(f"{f}(a * {k}.0::DOUBLE)" for k in (1, 2, 3) for f in ("sin", "cos"))
+_fourier = {
+    "terms": f"""SELECT Store, Dept, Date, Weekly_Sales, is_test,
+        [1.0::DOUBLE, y, {_waves}, CAST(IsHoliday AS DOUBLE)] AS x, CASE WHEN Weekly_Sales > 0 THEN ln(Weekly_Sales) END AS v
+        FROM (SELECT *, (Date - DATE '1995-01-01') / 365.25::DOUBLE AS y, (Date - DATE '1970-01-01')::DOUBLE * 2.0 * pi() / 365.25::DOUBLE AS a FROM lastn)""",
+    "sums": f"""SELECT Store, Dept, i, j, sum(list_append(x, v)[i] * list_append(x, v)[j]) AS g
+        FROM terms, range(1, {_SIZE + 1}) r(i), range(1, {_SIZE + 2}) c(j) WHERE NOT is_test AND v IS NOT NULL GROUP BY ALL""",
+    "norms": "SELECT Store, Dept, i, CASE WHEN g > 0 THEN sqrt(g) ELSE 1.0 END AS s FROM sums WHERE i = j",
+    "cells": f"""SELECT Store, Dept, i, j, g / p.s / coalesce(q.s, 1.0) + CASE WHEN i = j AND i > 1 THEN 0.001::DOUBLE ELSE 0.0 END AS g, p.s
+        FROM sums JOIN norms p USING (Store, Dept, i) LEFT JOIN (SELECT Store, Dept, i AS j, s FROM norms) q USING (Store, Dept, j)""",
+    "matrices": """SELECT Store, Dept, list(line ORDER BY i) AS m, list(s ORDER BY i) AS s
+        FROM (SELECT Store, Dept, i, list(g ORDER BY j) AS line, max(s) AS s FROM cells GROUP BY Store, Dept, i) GROUP BY Store, Dept""",
+    "solved": f"""WITH RECURSIVE run AS (
+            SELECT Store, Dept, s, 0 AS step, m FROM matrices
+            UNION ALL
+            SELECT Store, Dept, s, step + 1, list_transform(m, lambda line, i: list_transform(line, lambda value, j:
+                CASE WHEN i = step + 1 THEN value / top[step + 1] ELSE value - line[step + 1] * top[j] / top[step + 1] END))
+            FROM (SELECT *, m[step + 1] AS top FROM run WHERE step < {_SIZE}))
+        SELECT Store, Dept, list_transform(m, lambda line, i: line[{_SIZE + 1}] / s[i]) AS beta FROM run WHERE step = {_SIZE}""",
+    "fourier": """SELECT Store, Dept, Date, Weekly_Sales, exp(list_sum(list_transform(x, lambda value, i: value * beta[i]))) AS yhat
+        FROM terms JOIN solved USING (Store, Dept) WHERE is_test""",
+}
+
 _split_pick = pick("Store Dept is_test", "Date", "Weekly_Sales")
 _forecast_pick = pick("Store Dept", "Date", "Weekly_Sales yhat", 2)
 
@@ -179,7 +213,7 @@ ENTRIES = {
     "forecast_trend": (_forecast(inputs.trend_only), query(f"SELECT {_forecast_pick} FROM trend", "trend")),
     "forecast_smoothing": (_forecast(smoothing), None),
     "forecast_autoregressive": (_forecast(chosen_autoregression), None),
-    "forecast_fourier": (_forecast(fourier_regression), None),
+    "forecast_fourier": (_forecast(fourier_regression), query(f"SELECT {_forecast_pick} FROM fourier", "lastn", extra=_fourier)),
     "forecast_changepoints": (_forecast(changepoint_regression), None),
     "forecast_errors": (
         errors,
@@ -234,4 +268,5 @@ ENTRIES = {
         ),
     ),
     "pooled_trees": (pooled_trees, None),
+    "stored_trees": (stored_trees, None),
 }

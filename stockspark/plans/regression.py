@@ -8,17 +8,18 @@ from dataclasses import dataclass, field
 from functools import reduce
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from stockspark.checks import require_columns
-from stockspark.operators.accuracy import error_measures, forecast_record, period_label, python_literal
+from stockspark.functions.coerce import literal_to_map
+from stockspark.operators.accuracy import METRICS, error_measures, forecast_record, period_label, python_literal, with_saved_model
 from stockspark.operators.cleaning import align_features, drop_incomplete, encode_label, fill_values, label_codes
 from stockspark.operators.series import DATE, TARGET
 from stockspark.operators.splits import split_by_date
 from stockspark.operators.trees import fit_trees, predict
 from stockspark.session import by_series, materialise
-from stockspark.sources.tables import save_model
+from stockspark.sources.tables import load_model, save_model
 
 TYPE, TYPE_CODE = "Type", "Type_Encoded"
 GLOBAL_ID = 0
@@ -92,7 +93,7 @@ def compare_trees(
         params = dict(settings)
         if save_to:
             params["model_path"] = f"{save_to.rstrip('/')}/{kind}_{stamp.translate(str.maketrans('', '', '- :'))}"
-            save_model(model, params["model_path"])
+            save_model(model, params["model_path"], featured.sparkSession)
         measures = error_measures(F.col(target), F.col("yhat"))
         scored = predict(model, test).agg(*[c.alias(n) for n, c in measures.items()])
         scored = scored.withColumns(
@@ -109,3 +110,27 @@ def compare_trees(
     with ThreadPoolExecutor(len(configs)) as pool:
         records = list(pool.map(inheritable_thread_target(featured.sparkSession)(one), configs))
     return reduce(DataFrame.unionByName, records)
+
+
+def rescore_stored(featured: DataFrame, log: DataFrame, weeks: int = 52, target: str = TARGET) -> DataFrame:
+    """The stored models of an experiment log, loaded by their ``model_path`` and scored on the same split again.
+
+    One row for each record with a path: the logged errors beside those of the loaded model. The preparation is
+    fitted again on the train rows, so the loaded model sees the features it was trained on. Records without a path
+    have no row. A log holds one record for each pooled model, so its paths are few.
+    """
+    split = split_by_date(featured, weeks)
+    prep = RegressionPrep.fit(split.where(~F.col("is_test")), target)
+    test = materialise(prep.transform(split.where(F.col("is_test"))), "held-out")
+    records = log.withColumn("model_path", literal_to_map(F.col("Parameters")).getItem("model_path"))
+    names = list(METRICS)
+    records = with_saved_model(records).select("Timestamp", "Model", "model_path", *names)
+    measures = error_measures(F.col(target), F.col("yhat"))
+    empty = records.limit(0).select("*", *[F.col(n).alias(f"{n}_again") for n in names])
+
+    def one(record: Row) -> DataFrame:
+        scored = predict(load_model(record["model_path"], featured.sparkSession), test).agg(*[measures[n].alias(f"{n}_again") for n in names])
+        kept = [F.lit(record[c]).cast(records.schema[c].dataType).alias(c) for c in records.columns]
+        return scored.select(*kept, *[f"{n}_again" for n in names])
+
+    return reduce(DataFrame.unionByName, [one(record) for record in records.collect()], empty)

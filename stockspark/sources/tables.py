@@ -124,16 +124,17 @@ def latest_artifact(spark: SparkSession, folder: str, prefix: str) -> str | None
     return f"{folder.rstrip('/')}/{max(names)}" if names else None
 
 
-def save_model(model: PipelineModel | BoostedTrees, path: str) -> None:
+def save_model(model: PipelineModel | BoostedTrees, path: str, spark: SparkSession | None = None) -> None:
+    """Store ``model``; threads of their own have no active session and pass ``spark``."""
     if isinstance(model, BoostedTrees):
-        model.save(SparkSession.getActiveSession(), path)
+        model.save(spark or SparkSession.getActiveSession(), path)
     else:
         model.write().overwrite().save(path)
 
 
-def load_model(path: str) -> PipelineModel | BoostedTrees:
+def load_model(path: str, spark: SparkSession | None = None) -> PipelineModel | BoostedTrees:
     """The model stored at ``path``; MLlib's have a folder of stages, boosted trees a table."""
-    spark = SparkSession.getActiveSession()
+    spark = spark or SparkSession.getActiveSession()
     if path_exists(spark, f"{path.rstrip('/')}/stages"):
         return PipelineModel.load(path)
     return BoostedTrees.load(spark, path)
