@@ -165,6 +165,47 @@ _fourier = {
         FROM terms JOIN solved USING (Store, Dept) WHERE is_test""",
 }
 
+# The choice of ``chosen_autoregression``: every set of lags is a bit mask, solved by elimination of its columns; the last
+# row and column belong to the target, so what is left in their corner is the residual sum.
+_LAGS = (1, 2, 3, 4, 52, 53)
+_WIDTH = len(_LAGS) + 2
+_auto = {
+    "shifted": f"""SELECT Store, Dept, Date, Weekly_Sales, is_test, n_train, rn, {', '.join(f'lag(Weekly_Sales, {k}) OVER w AS l{k}' for k in _LAGS)}
+        FROM lastn WINDOW w AS (PARTITION BY Store, Dept ORDER BY Date)""",
+    "known": f"""SELECT Store, Dept, [1.0::DOUBLE, {', '.join(f'l{k}' for k in _LAGS)}, Weekly_Sales] AS z
+        FROM shifted WHERE NOT is_test AND l{_LAGS[-1]} IS NOT NULL""",
+    "sums": f"""SELECT Store, Dept, i, j, count(*) AS rows, sum(z[i] * z[j]) AS g
+        FROM known, range(1, {_WIDTH + 1}) r(i), range(1, {_WIDTH + 1}) c(j) GROUP BY ALL""",
+    "norms": f"SELECT Store, Dept, i, CASE WHEN i < {_WIDTH} AND g > 0 THEN sqrt(g) ELSE 1.0 END AS s FROM sums WHERE i = j",
+    "cells": f"""SELECT Store, Dept, i, j, rows, p.s,
+        g / p.s / q.s + CASE WHEN i = j AND i > 1 AND i < {_WIDTH} THEN 0.0001::DOUBLE ELSE 0.0 END AS g
+        FROM sums JOIN norms p USING (Store, Dept, i) JOIN (SELECT Store, Dept, i AS j, s FROM norms) q USING (Store, Dept, j)""",
+    "matrices": """SELECT Store, Dept, max(rows) AS rows, list(line ORDER BY i) AS m, list(s ORDER BY i) AS s
+        FROM (SELECT Store, Dept, i, max(rows) AS rows, list(g ORDER BY j) AS line, max(s) AS s FROM cells GROUP BY Store, Dept, i) GROUP BY Store, Dept""",
+    "sets": f"""WITH RECURSIVE run AS (
+            SELECT Store, Dept, rows, s, mask, 0 AS step, m FROM matrices, range({2 ** len(_LAGS)}) r(mask)
+            UNION ALL
+            SELECT Store, Dept, rows, s, mask, step + 1, CASE WHEN NOT taken THEN m ELSE
+                list_transform(m, lambda line, i: list_transform(line, lambda value, j:
+                    CASE WHEN i = step + 1 THEN value / top[step + 1] ELSE value - line[step + 1] * top[j] / top[step + 1] END)) END
+            FROM (SELECT *, m[step + 1] AS top, step = 0 OR (mask >> (step - 1)) & 1 = 1 AS taken FROM run WHERE step < {_WIDTH - 1}))
+        SELECT Store, Dept, rows, rows * ln(m[{_WIDTH}][{_WIDTH}] / rows) + 2 * (1 + bit_count(mask)) AS aic,
+            list_transform(range(1, {_WIDTH}), lambda i: CASE WHEN i = 1 OR (mask >> (i - 2)) & 1 = 1 THEN m[i][{_WIDTH}] / s[i] ELSE 0.0 END) AS beta
+        FROM run WHERE step = {_WIDTH - 1}""",
+    "chosen": f"SELECT Store, Dept, arg_min(beta, aic) AS beta FROM sets WHERE rows >= {_WIDTH} GROUP BY Store, Dept",
+    "ahead": f"""WITH RECURSIVE run AS (
+            SELECT Store, Dept, 0 AS step, beta, past FROM chosen JOIN
+                (SELECT Store, Dept, list(Weekly_Sales ORDER BY Date) AS past FROM lastn WHERE NOT is_test GROUP BY Store, Dept) USING (Store, Dept)
+            WHERE len(past) >= {_LAGS[-1]}
+            UNION ALL
+            SELECT Store, Dept, step + 1, beta,
+                list_append(past, beta[1] + {' + '.join(f'beta[{at}] * past[-{k}]' for at, k in enumerate(_LAGS, start=2))})
+            FROM run WHERE step < 52)
+        SELECT Store, Dept, step, past[-1] AS yhat FROM run WHERE step > 0""",
+    "auto": """SELECT l.Store, l.Dept, l.Date, l.Weekly_Sales, a.yhat FROM lastn l
+        LEFT JOIN ahead a ON a.Store = l.Store AND a.Dept = l.Dept AND a.step = l.rn - l.n_train WHERE l.is_test""",
+}
+
 _split_pick = pick("Store Dept is_test", "Date", "Weekly_Sales")
 _forecast_pick = pick("Store Dept", "Date", "Weekly_Sales yhat", 2)
 
@@ -212,7 +253,7 @@ ENTRIES = {
     "forecast_level": (_forecast(inputs.level_only), query(f"SELECT {_forecast_pick} FROM ets", "ets")),
     "forecast_trend": (_forecast(inputs.trend_only), query(f"SELECT {_forecast_pick} FROM trend", "trend")),
     "forecast_smoothing": (_forecast(smoothing), None),
-    "forecast_autoregressive": (_forecast(chosen_autoregression), None),
+    "forecast_autoregressive": (_forecast(chosen_autoregression), query(f"SELECT {_forecast_pick} FROM auto", "lastn", extra=_auto)),
     "forecast_fourier": (_forecast(fourier_regression), query(f"SELECT {_forecast_pick} FROM fourier", "lastn", extra=_fourier)),
     "forecast_changepoints": (_forecast(changepoint_regression), None),
     "forecast_errors": (

@@ -11,6 +11,7 @@ from stockspark.catalog.sql import pick, query, rounded
 from stockspark.checks import require_columns
 from stockspark.functions.calendar import long_date
 from stockspark.functions.coerce import (
+    FEATURE_KEYS,
     date_or_null,
     id_or_unknown,
     literal_to_list,
@@ -23,6 +24,7 @@ from stockspark.functions.coerce import (
 )
 from stockspark.functions.families import model_family
 from stockspark.plans import derived
+from stockspark.plans.logs import parse_logs
 from stockspark.plans.panel import load_and_merge
 from stockspark.session import scratch_path
 from stockspark.sources.tables import (
@@ -188,6 +190,25 @@ def literals(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def features_consolidated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log records of each part: features in their own column, under another key of the parameters, or nowhere.
+
+    An empty list does not count, and of several filled ones the column comes first, then the keys in their order.
+    """
+    part = derived.table(spark, sf_dir, "part")
+    listed = F.concat(F.lit("['"), F.col("p_type"), F.lit("', '"), F.col("p_brand"), F.lit("']"))
+    case = F.col("p_partkey") % (len(FEATURE_KEYS) + 3)
+    own = F.when(case == 0, listed).when(case == 1, "[]")
+    keyed = [F.when((case == 0) | (case == 2 + at) | (case == 2 + len(FEATURE_KEYS)), F.concat(F.lit(f"'{key}': ['k{at}', '"), F.col("p_brand"), F.lit("'], "))) for at, key in enumerate(FEATURE_KEYS)]
+    text = F.concat(F.lit("{"), *[F.coalesce(k, F.lit(f"'{key}': [], ")) for k, key in zip(keyed, FEATURE_KEYS)], F.lit("'size': "), F.col("p_size").cast("string"), F.lit("}"))
+    log = part.select(
+        F.col("p_partkey").cast("string").alias("Store"), F.lit("1").alias("Dept"), F.lit("m").alias("Model"),
+        text.alias("Parameters"), own.alias("Features_List_Used"),
+    )
+    parsed = parse_logs({"regression": log})
+    return parsed.select(F.col("Store").alias("p_partkey"), F.array_join("Features_List", "|").alias("features"))
+
+
 def periods_parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = derived.table(spark, sf_dir, "orders")
     day = F.to_date("o_orderdate")
@@ -274,6 +295,12 @@ ENTRIES = {
         CASE WHEN ok THEN 6 ELSE 0 END AS keys, CASE WHEN ok THEN 5 ELSE 0 END AS shown_keys, p_type || '|' || p_brand AS listed
         FROM (SELECT *, p_partkey % 10 <> 3 AS ok FROM part)""",
     ),
+    "features_consolidated": (
+        features_consolidated,
+        f"""SELECT CAST(p_partkey AS INTEGER) AS p_partkey, CASE WHEN kind = 0 THEN p_type || '|' || p_brand WHEN kind = 1 THEN ''
+        WHEN kind = {2 + len(FEATURE_KEYS)} THEN 'k0|' || p_brand ELSE 'k' || (kind - 2) || '|' || p_brand END AS features
+        FROM (SELECT *, p_partkey % {len(FEATURE_KEYS) + 3} AS kind FROM part)""",
+    ),
     "periods_parsed": (
         periods_parsed,
         """SELECT o_orderkey, CASE WHEN o_orderpriority <> '5-LOW' THEN CAST(CAST(o_orderdate AS DATE) AS VARCHAR) END AS period_start,
