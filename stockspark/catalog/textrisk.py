@@ -36,7 +36,7 @@ from stockspark.operators.alerts import (
 from stockspark.operators.terms import NaiveBayes, class_report, confusion, report_summary, tf_idf
 from stockspark.operators.valence import induced_lexicon, lexicon_score, seed_valence
 from stockspark.plans import derived
-from stockspark.plans.risk import ARTIFACT_PREFIX, enrich, risk_alerts, train_classifier, training_rows
+from stockspark.plans.risk import ARTIFACT_PREFIX, MODEL_NAME, enrich, risk_alerts, train_classifier, training_rows
 from stockspark.session import scratch_path
 from stockspark.sources.tables import latest_artifact
 
@@ -133,7 +133,7 @@ def classifier_training(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole training job: split, fit, save, score, log record."""
     folder = scratch_path(spark, "models")
     _, record = train_classifier(derived.news(spark, sf_dir), inputs.STAMP, folder)
-    return record.drop("Parameters")
+    return shown(record.drop("Parameters"))
 
 
 def training_split(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -287,6 +287,20 @@ _judged_sql = {
         FROM judged, (SELECT a AS label FROM judged UNION SELECT p FROM judged) GROUP BY label)""",
     "rep": """SELECT *, CASE WHEN precision + recall = 0 THEN 0.0 ELSE 2.0 * precision * recall / (precision + recall) END AS f1 FROM per""",
 }
+# The training job: the same model from the train rows alone, judged on the test rows over all labels.
+_split_rows = """SELECT id, risk_category, row_number() OVER (PARTITION BY risk_category ORDER BY substr(md5(concat_ws(':', '42', id)), 1, 15))
+    <= ceil(0.25 * count(*) OVER (PARTITION BY risk_category)) AS is_test
+    FROM content JOIN news USING (id) WHERE risk_category IS NOT NULL AND summary IS NOT NULL AND len(w) > 0"""
+_training = {
+    **_content,
+    "parts": _split_rows,
+    **{name: text for name, text in _bayes.items() if name not in _content},
+    "known": "SELECT id, risk_category FROM parts WHERE NOT is_test",
+    "judged": """SELECT id, risk_category AS a, p
+    FROM parts JOIN (SELECT id, arg_min(label, (-score, label)) AS p FROM final GROUP BY id) USING (id) WHERE is_test""",
+    "per": _judged_sql["per"].replace("(SELECT a AS label FROM judged UNION SELECT p FROM judged)", "(SELECT DISTINCT risk_category AS label FROM parts)"),
+    "rep": _judged_sql["rep"],
+}
 _names = [*CATEGORY_SEVERITY, "Logistics", ""]
 _severity = "CASE WHEN category IS NULL OR category = '' THEN 0 " + " ".join(f"WHEN category = '{n}' THEN {s}" for n, s in CATEGORY_SEVERITY.items()) + " ELSE 3 END"
 _orders = {
@@ -344,16 +358,19 @@ ENTRIES = {
         stored_classifier,
         query("SELECT id, arg_min(label, (-score, label)) AS predicted FROM final GROUP BY id", "news", extra=_bayes),
     ),
-    "classifier_training": (classifier_training, None),
-    "training_split": (
-        training_split,
+    "classifier_training": (
+        classifier_training,
         query(
-            """SELECT id, risk_category, row_number() OVER (PARTITION BY risk_category ORDER BY substr(md5(concat_ws(':', '42', id)), 1, 15))
-                <= ceil(0.25 * count(*) OVER (PARTITION BY risk_category)) AS is_test
-            FROM content JOIN news USING (id) WHERE risk_category IS NOT NULL AND summary IS NOT NULL AND len(w) > 0""",
-            "news", extra=_content,
+            f"""SELECT '{inputs.STAMP}' AS Timestamp, 'RiskCategoryClassifier' AS Model_Type, '{MODEL_NAME}' AS Model_Name,
+            {rounded('(SELECT avg(CAST(a = p AS DOUBLE)) FROM judged)')} AS Accuracy,
+            {rounded('avg(precision)')} AS Precision_Macro, {rounded('avg(recall)')} AS Recall_Macro, {rounded('avg(f1)')} AS F1_Macro FROM rep""",
+            "news", extra=_training,
         ),
     ),
+    "training_split": (
+        training_split,
+        query(_split_rows, "news", extra=_content),
+    ),
     "confusion": (
         confusion_table,
         query("SELECT a AS actual, p AS predicted, count(*) AS n FROM judged GROUP BY ALL", "news", extra=_judged_sql),
