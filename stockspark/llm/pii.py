@@ -127,6 +127,12 @@ def find(docs: DataFrame, model: tagger.Tagger | None, text: str = "text") -> Da
     return map_rows(docs, [text], run, StructType.fromDDL(f"__base {SPANS}, __added {SPANS}"))
 
 
+def number_of(spans: str, kind: int) -> Column:
+    """How many spans of an array of (s, k, e) are of a kind."""
+    # A second parameter of the function, even one with a default, would get the place in the array.
+    return F.size(F.filter(spans, lambda x: x["k"] == kind)).cast("long")
+
+
 def text_of(spans: Column) -> Column:
     """kind:start:end of an array of (s, k, e), comma-joined."""
     names = F.array(*map(F.lit, KINDS))

@@ -19,7 +19,7 @@ def op1_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     spans = F.array_sort(F.concat("__base", "__added"))
     return found.select(
         "doc_id",
-        *[F.size(F.filter("__base", lambda x, k=k: x["k"] == k)).cast("long").alias(f"n_{name}") for k, name in enumerate(pii.KINDS)],
+        *[pii.number_of("__base", k).alias(f"n_{name}") for k, name in enumerate(pii.KINDS)],
         F.sha2(pii.text_of(F.col("__base")).cast("binary"), 256).alias("base_sha256"),
         pii.text_of(spans).alias("spans"),
         F.size("__added").cast("long").alias("n_added"),

@@ -1,12 +1,14 @@
 """Personal data: base spans against the plain patterns, the tagger against numeric slopes."""
 
+import hashlib
 import re
 
 import numpy as np
-from cases import AWKWARD, frame, real_rows
+from cases import AWKWARD, frame, real_rows, written
 
 from stockspark.llm import pii, tagger
 from stockspark.llm.patterns import KINDS, base_spans, luhn
+from stockspark.llm.queries import op1_personal_data
 
 PLAIN = (
     r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
@@ -117,3 +119,15 @@ def test_operator_and_masking(spark):
     got = {r["doc_id"]: (r["text"], r["n_chars"]) for r in masked.collect()}
     assert got[50] == ("mail <EMAIL> now", 16) and got[0][0] is None and got[7] == (AWKWARD[9][1], len(AWKWARD[9][1]))
     assert pii.find(frame(spark, []), None).count() == 0 and pii.fit(frame(spark, [])) is None
+
+
+def test_query_counts_each_kind(spark, tmp_path):
+    rows = [*AWKWARD, *((60 + k, text) for k, text in enumerate(TRICKY)), (90, "a@b.cd 1.2.3.4 5.6.7.8 4111 1111 1111 1111 +1 (555) 010-9999")]
+    names = [f"n_{name}" for name in KINDS]
+    got = op1_personal_data(spark, written(spark, tmp_path, "documents", frame(spark, rows))).select("doc_id", *names, "base_sha256").collect()
+    expected = []
+    for doc_id, text in rows:
+        spans = plain(text)
+        joined = ",".join(f"{KINDS[k]}:{s}:{e}" for s, k, e in spans)
+        expected.append((doc_id, *[sum(kind == k for _, kind, _ in spans) for k in range(len(KINDS))], hashlib.sha256(joined.encode()).hexdigest()))
+    assert sorted(map(tuple, got), key=str) == sorted(expected, key=str)
