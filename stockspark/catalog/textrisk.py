@@ -46,11 +46,12 @@ HOSTILE = ("Labor Dispute", "Cybersecurity Attack")
 
 def _worded(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All items with their content words, written once: several passes follow."""
+    return inputs.once(spark, sf_dir, "worded", lambda: _unwritten(spark, sf_dir))
 
-    def build() -> DataFrame:
-        return derived.news(spark, sf_dir).select("id", "risk_category", content_words(F.col("summary")).alias("words"))
 
-    return inputs.once(spark, sf_dir, "worded", build)
+def _unwritten(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same, not written: for operators that read their documents once."""
+    return derived.news(spark, sf_dir).select("id", "risk_category", content_words(F.col("summary")).alias("words"))
 
 
 def _enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -59,7 +60,7 @@ def _enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _judged(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Manual category against the predicted one, for all items that have a category."""
-    labelled = _worded(spark, sf_dir).where(F.col("risk_category").isNotNull()).select("id", "risk_category")
+    labelled = derived.news(spark, sf_dir).where(F.col("risk_category").isNotNull()).select("id", "risk_category")
     return labelled.join(bayes_predictions(spark, sf_dir), "id")
 
 
@@ -103,20 +104,20 @@ def sentiment(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def term_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return shown(tf_idf(_worded(spark, sf_dir), "id", "words"), 6)
+    return shown(tf_idf(_unwritten(spark, sf_dir), "id", "words"), 6)
 
 
 def _model(spark: SparkSession, sf_dir: str) -> NaiveBayes:
-    return NaiveBayes.fit(_worded(spark, sf_dir).where("risk_category is not null"), "id", "words", "risk_category")
+    return NaiveBayes.fit(_unwritten(spark, sf_dir).where("risk_category is not null"), "id", "words", "risk_category")
 
 
 def bayes_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return shown(_model(spark, sf_dir).scores(_worded(spark, sf_dir), "id", "words"), 4)
+    return shown(_model(spark, sf_dir).scores(_unwritten(spark, sf_dir), "id", "words"), 4)
 
 
 def bayes_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The category of every item; fitted and predicted once, as reports read it too."""
-    return inputs.once(spark, sf_dir, "predicted", lambda: _model(spark, sf_dir).predict(_worded(spark, sf_dir), "id", "words"))
+    return inputs.once(spark, sf_dir, "predicted", lambda: _model(spark, sf_dir).predict(_unwritten(spark, sf_dir), "id", "words"))
 
 
 def stored_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -126,7 +127,7 @@ def stored_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     for stamp in ("20250101", "20250102"):
         model.save(f"{folder}/{ARTIFACT_PREFIX}{stamp}")
     loaded = NaiveBayes.load(spark, latest_artifact(spark, folder, ARTIFACT_PREFIX))
-    return loaded.predict(_worded(spark, sf_dir), "id", "words")
+    return loaded.predict(_unwritten(spark, sf_dir), "id", "words")
 
 
 def classifier_training(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,57 +1,20 @@
 """Term weights over a corpus, and a multinomial naive Bayes classifier on top of them.
 
-Vocabulary, weights and model are DataFrames, so none of them has to fit a driver.
+Weights and model are DataFrames, so none of them has to fit a driver; only the classes pass through it. Terms meet
+their documents in blocks (``termblocks``). Each row is a document of its own.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stockspark.operators.heavy import hot_keys, spread_join
+from stockspark.operators.termblocks import blocks_of, buckets_for, documents_in, label_masses, label_scores, weighted_terms
 from stockspark.session import materialise
 
 MIN_DOCS, MAX_SHARE, ALPHA = 2, 0.95, 0.1
 SALTS = 8
-ROLES = ("model_terms", "model_classes", "model_vocabulary")
-
-
-def grams(words: Column) -> Column:
-    """Words of two characters or more, and pairs of neighbours among them."""
-    def joined(kept: Column) -> Column:
-        pairs = F.zip_with(
-            F.slice(kept, 1, F.greatest(F.size(kept) - 1, F.lit(0))),
-            F.slice(kept, 2, F.greatest(F.size(kept) - 1, F.lit(0))),
-            lambda a, b: F.concat_ws(" ", a, b),
-        )
-        return F.concat(kept, pairs)
-
-    long = F.filter(words, lambda w: F.length(w) >= 2)
-    return F.get(F.transform(F.array(long), joined), F.lit(0))
-
-
-def term_counts(docs: DataFrame, key: str, words: str) -> DataFrame:
-    """``key``, ``term``, ``tf``. Repeats inside a document collapse before the shuffle."""
-    return (
-        docs.select(key, F.explode(grams(F.col(words))).alias("term"))
-        .groupBy(key, "term")
-        .agg(F.count(F.lit(1)).alias("tf"))
-    )
-
-
-def vocabulary(
-    counts: DataFrame, docs: DataFrame, min_docs: int = MIN_DOCS, max_share: float = MAX_SHARE
-) -> DataFrame:
-    """``term``, ``df`` and ``idf`` of the terms that are neither rare nor everywhere."""
-    total = docs.agg(F.count(F.lit(1))).scalar()
-    # Counting through `tf` keeps the columns of `counts` the same as in `weigh`, so that its
-    # exchange is computed once and reused there.
-    frequency = counts.groupBy("term").agg(F.count_if(F.col("tf") > 0).alias("df"))
-    kept = frequency.where((F.col("df") >= min_docs) & (F.col("df") <= F.lit(max_share) * total))
-    idf = F.log((total + 1).cast("double") / (F.col("df") + 1).cast("double")) + F.lit(1.0)
-    return kept.withColumn("idf", idf)
+ROLES = ("model_terms", "model_classes")
 
 
 def salted_join(facts: DataFrame, lookup: DataFrame, column: str, spread: str, salts: int = SALTS) -> DataFrame:
@@ -68,61 +31,48 @@ def salted_join(facts: DataFrame, lookup: DataFrame, column: str, spread: str, s
     return left.join(right, [column, "_salt"]).drop("_salt")
 
 
-def weigh(counts: DataFrame, vocab: DataFrame, key: str) -> DataFrame:
-    """Sublinear term weights of unit length per document: ``key``, ``term``, ``weight``.
-
-    Hot terms are found by a sketch of the counts and spread by their measured frequency.
-    """
-    # Reading through ``tf`` keeps the exchange of ``counts`` the same for all its readers.
-    hot = hot_keys(counts, "term", F.col("tf") > 0)
-    raw = (F.lit(1.0) + F.log(F.col("tf").cast("double"))) * F.col("idf")
-    rows = spread_join(counts, vocab.select("term", "idf"), "term", key, hot).select(key, "term", raw.alias("raw"))
-    # One document's terms: bounded by the length of the document.
-    length = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy(key)))
-    return rows.select(key, "term", (F.col("raw") / length).alias("weight"))
-
-
-def tf_idf(docs: DataFrame, key: str, words: str, **options) -> DataFrame:
-    counts = term_counts(docs, key, words)
-    return weigh(counts, vocabulary(counts, docs, **options), key)
+def tf_idf(docs: DataFrame, key: str, words: str, min_docs: int = MIN_DOCS, max_share: float = MAX_SHARE) -> DataFrame:
+    """Sublinear term weights of unit length per document: ``key``, ``term``, ``weight``. ``docs`` is read once."""
+    return weighted_terms(docs, key, words, min_docs, max_share)
 
 
 class NaiveBayes:
-    """Multinomial naive Bayes on term weights, with the model held in three written tables.
+    """Multinomial naive Bayes on term weights, with the model held in two written tables.
 
-    ``terms``: term, label, gain (log of smoothed over bare smoothing). ``classes``: label,
-    prior, floor (log weight of a term the class never shows). ``vocab``: term, idf.
+    ``terms``: term, idf, gains (log of smoothed over bare smoothing, for each class). ``classes``: place, label,
+    prior, floor (log weight of a term the class never shows).
     """
 
-    def __init__(self, terms: DataFrame, classes: DataFrame, vocab: DataFrame) -> None:
-        self.terms, self.classes, self.vocab = terms, classes, vocab
+    def __init__(self, terms: DataFrame, classes: DataFrame) -> None:
+        self.terms, self.classes = terms, classes
 
     @classmethod
     def fit(
-        cls, docs: DataFrame, key: str, words: str, label: str, alpha: float = ALPHA, **options
+        cls, docs: DataFrame, key: str, words: str, label: str, alpha: float = ALPHA, min_docs: int = MIN_DOCS, max_share: float = MAX_SHARE
     ) -> NaiveBayes:
-        # Counts, vocabulary and class weights are each read more than once: written once.
-        counts = materialise(term_counts(docs, key, words), "term_counts")
-        vocab = materialise(vocabulary(counts, docs, **options).select("term", "idf"), "vocabulary")
-        labelled = weigh(counts, vocab, key).join(docs.select(key, F.col(label).alias("label")), key)
-        mass = labelled.groupBy("term", "label").agg(F.sum("weight").alias("mass"))
-        mass = materialise(mass, "term_mass")
-        terms = mass.select("term", "label", F.log((F.col("mass") + alpha) / F.lit(alpha)).alias("gain"))
-
-        distinct_terms = vocab.agg(F.count(F.lit(1))).scalar()
-        documents = docs.agg(F.count(F.lit(1))).scalar()
-        sizes = docs.groupBy(F.col(label).alias("label")).agg(F.count(F.lit(1)).alias("n"))
-        totals = mass.groupBy("label").agg(F.sum("mass").alias("total"))
+        """``docs`` is read once; documents without a label count for the vocabulary only."""
+        blocks = blocks_of(docs, key, words, label)
+        documents = documents_in(blocks)
+        sizes = blocks.select(F.explode("labels").alias("label")).where("label is not null").groupBy("label").count()
+        found = {r["label"]: r["count"] for r in sizes.collect()}
+        labels = sorted(found)
+        mass = materialise(label_masses(blocks, buckets_for(blocks), labels, documents, min_docs, max_share), "term_mass", drop_shuffles=True)
+        terms = mass.select("term", "idf", F.transform("mass", lambda m: F.log((m + alpha) / F.lit(alpha))).alias("gains"))
+
+        distinct_terms = mass.agg(F.count(F.lit(1))).scalar()
+        rows = docs.sparkSession.createDataFrame([(k, x, found[x] / documents) for k, x in enumerate(labels)], "place int, label string, share double")
+        totals = mass.select(F.posexplode("mass").alias("place", "mass")).groupBy("place").agg(F.sum("mass").alias("total"))
         bottom = F.coalesce(F.col("total"), F.lit(0.0)) + F.lit(alpha) * distinct_terms
-        classes = sizes.join(totals, "label", "left").select(
-            "label",
-            F.log(F.col("n") / documents).alias("prior"),
+        classes = rows.join(totals, "place", "left").select(
+            "place",
+            F.col("label").cast(docs.schema[label].dataType).alias("label"),
+            F.log("share").alias("prior"),
             (F.log(F.lit(alpha)) - F.log(bottom)).alias("floor"),
         )
-        return cls(terms, materialise(classes, "classes"), vocab)
+        return cls(terms, materialise(classes, "classes"))
 
     def save(self, path: str) -> None:
-        for table, name in zip((self.terms, self.classes, self.vocab), ROLES):
+        for table, name in zip((self.terms, self.classes), ROLES):
             table.write.mode("overwrite").parquet(f"{path}/{name}")
 
     @classmethod
@@ -130,21 +80,11 @@ class NaiveBayes:
         return cls(*[spark.read.parquet(f"{path}/{name}") for name in ROLES])
 
     def scores(self, docs: DataFrame, key: str, words: str) -> DataFrame:
-        """Joint log score of each document and class: ``key``, ``label``, ``score``."""
-        counts = term_counts(docs, key, words)
-        weights = weigh(counts, self.vocab, key)
-        mass = weights.groupBy(key).agg(F.sum("weight").alias("_mass"))
-        # One short list of classes, the same for each document.
-        classes = self.classes.agg(F.collect_list(F.struct("label", "prior", "floor"))).scalar()
-        grid = docs.select(key).join(mass, key, "left").select(key, "_mass", F.inline(classes))
-        gained = (
-            spread_join(weights, self.terms, "term", key, hot_keys(counts, "term", F.col("tf") > 0))
-            .groupBy(key, "label")
-            .agg(F.sum(F.col("weight") * F.col("gain")).alias("_gained"))
-        )
-        zero = F.lit(0.0)
-        score = F.col("prior") + F.coalesce("_mass", zero) * F.col("floor") + F.coalesce("_gained", zero)
-        return grid.join(gained, [key, "label"], "left").select(key, "label", score.alias("score"))
+        """Joint log score of each document and class: ``key``, ``label``, ``score``. ``docs`` is read once."""
+        classes = self.classes.orderBy("place").collect()
+        label = F.get(F.array(*[F.lit(r["label"]) for r in classes]), F.col("place"))
+        scored = label_scores(blocks_of(docs, key, words), key, self.terms, [r["prior"] for r in classes], [r["floor"] for r in classes])
+        return scored.select(key, label.alias("label"), "score")
 
     def predict(self, docs: DataFrame, key: str, words: str) -> DataFrame:
         """The class with the highest score, the first in sorted order on ties."""

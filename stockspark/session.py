@@ -9,6 +9,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def build_session(app: str = "stockspark", master: str | None = None, **conf: str) -> SparkSession:
     """A session with adaptive execution on; the cluster's own settings win where given.
@@ -76,15 +78,24 @@ def drop_scratch(spark: SparkSession) -> None:
     root.getFileSystem(spark._jsc.hadoopConfiguration()).delete(root, True)
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
+def materialise(df: DataFrame, name: str, drop_shuffles: bool = False) -> DataFrame:
     """Write ``df`` once as a table in the shared folder and read it back.
 
     Used where several jobs read the same result (model fits). The written table also cuts the
-    lineage, and it outlives lost executors, unlike cached blocks.
+    lineage, and it outlives lost executors, unlike cached blocks. With ``drop_shuffles`` the
+    shuffle files of the write go with it, as nothing reads them again; else Spark keeps them
+    until the driver collects garbage.
     """
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark, path = df.sparkSession, scratch_path(df.sparkSession, name)
+    before = spark.conf.get(CLEANUP, "false")
+    if drop_shuffles:
+        spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if drop_shuffles:
+            spark.conf.set(CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def by_series(df: DataFrame, keys: Sequence[str]) -> DataFrame:
