@@ -10,7 +10,6 @@ from stockspark.functions.coerce import date_or_null, score_or_zero
 from stockspark.functions.riskscore import risk_band, risk_score
 from stockspark.functions.text import content_words, sentiment_label, sentiment_score, text_choice
 from stockspark.operators.terms import NaiveBayes
-from stockspark.session import materialise
 
 NO_MODEL, NO_INPUT, NO_TEXT = "Model N/A", "N/A (No Input Text)", "N/A (No Processable Text)"
 ERROR = "Error Predicting Category"
@@ -44,21 +43,17 @@ def analyse_news(news: DataFrame) -> DataFrame:
 def predict_category(news: DataFrame, model: NaiveBayes | None) -> DataFrame:
     """Category of each item, with a stated reason where there is none to predict.
 
-    With a model, the words of each item are written once; only ids and labels are joined back, not
-    texts. An item that the model gives no class gets ERROR.
+    With a model, only ids and labels are joined back, not texts. An item that the model gives no class gets ERROR.
     """
     if model is None:
         label = F.when(F.col("text") == "", NO_INPUT).otherwise(NO_MODEL)
         return news.withColumn("ai_predicted_category", label)
-    worded = materialise(news.select("id", (F.col("text") == "").alias("_blank"), content_words(F.col("text")).alias("_words")), "words")
-    predicted = model.predict(worded.where(F.size("_words") > 0).select("id", "_words"), "id", "_words")
-    label = (
-        F.when(F.col("_blank"), NO_INPUT)
-        .when(F.size("_words") == 0, NO_TEXT)
-        .otherwise(F.coalesce("predicted", F.lit(ERROR)))
-    )
-    labels = worded.join(predicted, "id", "left").select("id", label.alias("ai_predicted_category"))
-    return news.join(labels, "id", "left")
+    words = content_words(F.col("text"))
+    predicted = model.predict(news.select("id", words.alias("_words")).where(F.size("_words") > 0), "id", "_words")
+    # The reason is found below the join, so that no text has to pass it.
+    reason = F.when(F.col("text") == "", NO_INPUT).when(F.size(words) == 0, NO_TEXT)
+    joined = news.withColumn("_reason", reason).join(predicted, "id", "left")
+    return joined.withColumn("ai_predicted_category", F.coalesce("_reason", "predicted", F.lit(ERROR))).drop("_reason", "predicted")
 
 
 def score_risk(news: DataFrame) -> DataFrame:
