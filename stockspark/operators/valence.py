@@ -12,14 +12,14 @@ The lexicon is a table. Scoring holds the words of strongest valence in each tas
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Sequence
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StructField, StructType
 
 from stockspark.operators.terms import salted_join
 from stockspark.session import materialise
@@ -34,6 +34,7 @@ STRONGEST = 20
 ROUNDS = 3
 SHARE = 0.3
 LEXICON_WORDS = 20_000
+SCORED_WORDS = 250_000
 NORMALISER = 15.0
 
 
@@ -127,35 +128,37 @@ def induced_lexicon(docs: DataFrame, words: str, label: str, rounds: int = ROUND
     return spread(seed_valence(docs, words, label), neighbours(docs, words), rounds).where(F.abs("valence") >= faint)
 
 
+def scorer(table: Broadcast, most: int = SCORED_WORDS) -> Callable[[pa.Array], pa.Array]:
+    """Scores of texts given as lists of words; ``table`` holds words and, beside them, their valences.
+
+    ``most`` words at a time are looked up, so a batch takes little memory beside its own words, whatever the length
+    of its texts. The valences of a text are added in their order: its score does not depend on texts beside it.
+    """
+
+    def scores(texts: pa.Array) -> pa.Array:
+        known, valence = pa.array(table.value[0], pa.string()), table.value[1]
+        sizes = pc.fill_null(pc.list_value_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        ends, flat, total = np.cumsum(sizes), texts.flatten(), np.zeros(len(sizes))
+        for start in range(0, len(flat), most):
+            found = pc.index_in(pc.cast(flat.slice(start, most), pa.string()), known)
+            hits = start + np.flatnonzero(pc.is_valid(found).to_numpy(zero_copy_only=False))
+            np.add.at(total, np.searchsorted(ends, hits, side="right"), valence[found.drop_null().to_numpy()])
+        total /= np.sqrt(np.maximum(sizes, 1))
+        return pa.array(total / np.sqrt(total * total + NORMALISER))
+
+    return scores
+
+
 def lexicon_score(docs: DataFrame, words: str, lexicon: DataFrame, score: str = "score", most: int = LEXICON_WORDS) -> DataFrame:
     """``docs`` with a score in (-1, 1): the sum of its words' valences over the root of its words, squashed.
 
     The ``most`` words of strongest valence (ties by word) go to every task; their number bounds what is sent. Texts
-    without a known word score 0. Nothing is shuffled. A column named ``score`` gives way to the new one.
+    without a known word score 0. Nothing is shuffled, and only words go to Python and scores come back. A column
+    named ``score`` gives way to the new one.
     """
     rows = lexicon.where("valence <> 0").orderBy(F.desc(F.abs("valence")), "word").limit(most).collect()
-    table = docs.sparkSession.sparkContext.broadcast(([r["word"] for r in rows], np.array([r["valence"] for r in rows] + [0.0])))
-    docs = docs.drop(score)
-    schema = StructType([*docs.schema.fields, StructField(score, DoubleType())])
-    place = docs.columns.index(words)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark.sql.pandas.types import to_arrow_schema
-
-        out = to_arrow_schema(schema)
-        known, valence = pa.array(table.value[0], pa.string()), table.value[1]
-        for batch in batches:
-            column = batch.column(place)
-            sizes = pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64)
-            found = pc.fill_null(pc.index_in(pc.cast(column.flatten(), pa.string()), known), len(known)).to_numpy(zero_copy_only=False)
-            sums = np.concatenate(([0.0], np.cumsum(valence[found])))
-            ends = np.cumsum(sizes)
-            total = (sums[ends] - sums[ends - sizes]) / np.sqrt(np.maximum(sizes, 1))
-            scores = total / np.sqrt(total * total + NORMALISER)
-            columns = [c.cast(f.type) for c, f in zip(batch.columns, out)]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(scores)], schema=out)
-
-    return docs.mapInArrow(run, schema)
+    table = docs.sparkSession.sparkContext.broadcast(([r["word"] for r in rows], np.array([r["valence"] for r in rows], dtype=np.float64)))
+    return docs.drop(score).withColumn(score, F.arrow_udf(scorer(table), "double")(F.col(words)))
 
 
 def agreement(scored: DataFrame, score: str, label: str, by: Sequence[str] = ()) -> DataFrame:

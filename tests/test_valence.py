@@ -2,8 +2,12 @@
 
 import math
 import random
+import tracemalloc
 from collections import Counter
+from types import SimpleNamespace
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -95,6 +99,42 @@ def test_scores_of_texts(spark):
     assert "Exchange" not in valence.lexicon_score(df, "words", lexicon)._jdf.queryExecution().executedPlan().toString()
 
 
+def test_a_score_does_not_depend_on_other_texts(spark):
+    lexicon = spark.createDataFrame([("vast", 1e17), ("up", 2.0)], "word string, valence double")
+    df = spark.createDataFrame([(1, ["vast"], None), (2, ["up"], None)], SCHEMA).coalesce(1)
+    got = {r["id"]: r["score"] for r in valence.lexicon_score(df, "words", lexicon).collect()}
+    assert got == pytest.approx({1: 1.0, 2: 2 / math.sqrt(19)})
+
+
+def test_only_words_go_to_python_and_scores_come_back(spark):
+    lexicon = spark.createDataFrame([("up", 2.0)], "word string, valence double")
+    df = spark.createDataFrame([(1, ["up"], None)], SCHEMA)
+    plan = valence.lexicon_score(df, "words", lexicon)._jdf.queryExecution().executedPlan().toString()
+    assert "ArrowEvalPython" in plan and "MapInArrow" not in plan
+
+
+def test_scoring_takes_little_memory_beside_the_words():
+    """Two million words in one batch, one text far longer than a piece: numpy and Arrow stay below half a word's 24 bytes."""
+    draw, n = np.random.default_rng(5), 2_000_000
+    codes = draw.integers(0, 50, n).astype(np.int32)
+    flat = pa.DictionaryArray.from_arrays(pa.array(codes), pa.array([f"w{i}" for i in range(50)])).cast(pa.string())
+    ends = np.sort(draw.integers(0, n, 999)) // 2
+    borders = np.concatenate(([0], ends, [n])).astype(np.int32)
+    texts = pa.ListArray.from_arrays(pa.array(borders), flat)
+    values = draw.normal(size=20)
+    table = SimpleNamespace(value=([f"w{i}" for i in range(20)], values))
+    before = pa.total_allocated_bytes()
+    tracemalloc.start()
+    scores = valence.scorer(table)(texts).to_numpy()
+    used = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert used < n * 12 and pa.total_allocated_bytes() - before < n
+    each = np.append(values, np.zeros(30))[codes]
+    total = np.array([each[s:e].sum() for s, e in zip(borders[:-1], borders[1:])]) / np.sqrt(np.maximum(np.diff(borders), 1))
+    assert scores == pytest.approx(total / np.sqrt(total * total + 15))
+    assert np.array_equal(scores, valence.scorer(table, most=777)(texts).to_numpy())
+
+
 def test_agreement_counts_pairs(spark):
     draw = random.Random(1)
     rows = [(draw.choice("ab"), draw.randrange(-9, 9) / 10, draw.choice([0, 1, None])) for _ in range(300)]
