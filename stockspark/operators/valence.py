@@ -7,22 +7,26 @@
 3. A few rounds move the valence of each word towards the mean of its neighbours', which also gives words that no
    labelled document holds a value.
 
-The lexicon is a table. Scoring holds the words of strongest valence in each task and stays inside the scan.
+The lexicon is a table, and all its words count. Scoring holds a short one in each task and stays inside the scan; a
+long one is dealt into buckets that answer the distinct words of blocks of texts.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+import zlib
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark import Broadcast
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
+from stockspark.operators.termblocks import LISTED, Block, borders_of, joined, ordered, per_block, pieces, terms_of
 from stockspark.operators.terms import salted_join
-from stockspark.session import materialise
+from stockspark.session import by_series, materialise
 
 SHRINK = 10.0
 MINIMUM_DOCS = 5
@@ -33,8 +37,11 @@ MINIMUM_MEETINGS = 3
 STRONGEST = 20
 ROUNDS = 3
 SHARE = 0.3
-LEXICON_WORDS = 20_000
+HELD_WORDS = 20_000
 SCORED_WORDS = 250_000
+BLOCK_BYTES = 8 << 20
+BLOCKS_A_BUCKET = 8
+WORDS_A_BUCKET = 500_000
 NORMALISER = 15.0
 
 
@@ -128,15 +135,15 @@ def induced_lexicon(docs: DataFrame, words: str, label: str, rounds: int = ROUND
     return spread(seed_valence(docs, words, label), neighbours(docs, words), rounds).where(F.abs("valence") >= faint)
 
 
-def scorer(table: Broadcast, most: int = SCORED_WORDS) -> Callable[[pa.Array], pa.Array]:
-    """Scores of texts given as lists of words; ``table`` holds words and, beside them, their valences.
+def lookup(most: int = SCORED_WORDS) -> Callable[[pa.Array, pa.Array, np.ndarray], pa.Array]:
+    """A function of texts given as lists of words, known words and, beside them, their valences; it gives their scores.
 
     ``most`` words at a time are looked up, so a batch takes little memory beside its own words, whatever the length
     of its texts. The valences of a text are added in their order: its score does not depend on texts beside it.
+    It goes to workers by value, so they need not have this package.
     """
 
-    def scores(texts: pa.Array) -> pa.Array:
-        known, valence = pa.array(table.value[0], pa.string()), table.value[1]
+    def scores(texts: pa.Array, known: pa.Array, valence: np.ndarray) -> pa.Array:
         sizes = pc.fill_null(pc.list_value_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64)
         ends, flat, total = np.cumsum(sizes), texts.flatten(), np.zeros(len(sizes))
         for start in range(0, len(flat), most):
@@ -149,16 +156,132 @@ def scorer(table: Broadcast, most: int = SCORED_WORDS) -> Callable[[pa.Array], p
     return scores
 
 
-def lexicon_score(docs: DataFrame, words: str, lexicon: DataFrame, score: str = "score", most: int = LEXICON_WORDS) -> DataFrame:
+def scorer(table: Broadcast, most: int = SCORED_WORDS) -> Callable[[pa.Array], pa.Array]:
+    """Scores of texts by ``lookup``; ``table`` holds words and, beside them, their valences."""
+    scores = lookup(most)
+    return lambda texts: scores(texts, pa.array(table.value[0], pa.string()), table.value[1])
+
+
+def packed_rows(docs: DataFrame, words: str, most: int = BLOCK_BYTES) -> DataFrame:
+    """``docs`` in blocks of neighbouring rows: ``block``, and its ``rows`` as an Arrow stream with the words as codes.
+
+    A block has at most ``most`` bytes, or one row. Written once, as the rows of a block must be the same when it asks
+    and when it is answered.
+    """
+    schema, place = StructType.fromDDL("block bigint, rows binary"), docs.columns.index(words)
+
+    def parts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        if batch.num_rows < 2 or batch.nbytes <= most:
+            yield batch
+        else:
+            half = batch.num_rows // 2
+            yield from parts(batch.slice(0, half))
+            yield from parts(batch.slice(half))
+
+    def block(number: int, held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        rows, sink = pa.Table.from_batches(held), pa.BufferOutputStream()
+        texts = pa.concat_arrays(rows.column(place).chunks)
+        sizes = pc.fill_null(pc.list_value_length(texts), 0).to_numpy(zero_copy_only=False)
+        coded = pc.cast(texts.flatten(), pa.string()).dictionary_encode()
+        texts = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(sizes))), pa.int32()), coded, mask=texts.is_null())
+        rows = rows.set_column(place, words, texts).combine_chunks()
+        with pa.ipc.new_stream(sink, rows.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as stream:
+            stream.write_table(rows)
+        return pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), pa.array([sink.getvalue().to_pybytes()], pa.binary())], names=schema.names)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number, held, size = TaskContext.get().partitionId() << 32, [], 0
+        for part in (p for batch in batches for p in parts(batch)):
+            if held and size + part.nbytes > most:
+                yield block(number, held)
+                number, held, size = number + 1, [], 0
+            if part.num_rows:
+                held.append(part)
+                size += part.nbytes
+        if held:
+            yield block(number, held)
+
+    return materialise(docs.mapInArrow(run, schema), "packed_rows")
+
+
+class PackedRows(Block):
+    """One row of ``packed_rows``: its rows, its texts, and its distinct words by bucket."""
+
+    def __init__(self, number: int, rows: pa.Buffer, place: int, buckets: int) -> None:
+        self.number, self.buckets, self.rows = number, buckets, pa.ipc.open_stream(rows).read_all()
+        self.coded = self.rows.column(place).chunk(0)
+        words = self.coded.values.dictionary
+        bucket = np.fromiter((zlib.crc32(w.encode()) for w in words.to_pylist()), dtype=np.int64, count=len(words)) % buckets
+        order = np.argsort(bucket, kind="stable")
+        self.vocab, self.borders = words.take(pa.array(order)), np.searchsorted(bucket[order], np.arange(buckets + 1))
+
+    def __len__(self) -> int:
+        return len(self.vocab)
+
+    def texts(self, chosen: np.ndarray) -> pa.Array:
+        return self.vocab.take(pa.array(chosen))
+
+
+def joined_scores(docs: DataFrame, words: str, lexicon: DataFrame, score: str, most: int = BLOCK_BYTES) -> DataFrame:
+    """``docs`` with ``score`` from a lexicon of any length, which no task and not the driver holds as a whole.
+
+    A block sends its distinct words to the buckets of a hash, and gets valences in their order. Of a word with several
+    valences the strongest counts, as in a held lexicon.
+    """
+    blocks, place = packed_rows(docs, words, most), docs.columns.index(words)
+    known, unnamed = lexicon.agg(F.count("word"), F.max_by("valence", F.when(F.col("word").isNull(), F.abs("valence")))).first()
+    buckets = 1 + max(blocks.count() // BLOCKS_A_BUCKET, known // WORDS_A_BUCKET)
+    schema, scores = StructType([*docs.schema.fields, StructField(score, DoubleType())]), lookup()
+
+    def asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for number, rows in zip(batch["block"].to_pylist(), batch["rows"]):
+                block = PackedRows(number, rows.as_buffer(), place, buckets)
+                yield from block.listed(np.arange(len(block)), lambda *_: {}).to_batches()
+
+    def answered(rows: pa.Table, lexicon: pa.Table) -> pa.Table:
+        lexicon = lexicon.take(pa.array(np.argsort(-np.abs(lexicon["valence"].to_numpy()), kind="stable")))
+        found = pc.fill_null(pc.index_in(terms_of(rows), pc.cast(lexicon["word"], pa.large_string())), lexicon.num_rows).to_numpy()
+        valence = np.append(lexicon["valence"].to_numpy(), 0.0)[found]
+        return pa.table({"block": rows["block"], "bucket": rows["bucket"], "n": rows["n"], "valence": pieces(valence, borders_of(rows))})
+
+    def scored(row: pa.Table, replies: pa.Table) -> pa.Table:
+        from pyspark.sql.pandas.types import to_arrow_schema
+
+        out, block = to_arrow_schema(schema), PackedRows(row["block"][0].as_py(), row["rows"][0].as_buffer(), place, buckets)
+        valence = joined(ordered(replies), "valence", np.float64)
+        hits = np.flatnonzero(valence)
+        known, valence = block.texts(hits), valence[hits]
+        if unnamed is not None:
+            known, valence = pa.concat_arrays([known, pa.array([None], pa.string())]), np.append(valence, unnamed)
+        made = scores(block.coded, known, valence)
+        return pa.Table.from_arrays([*(c.cast(f.type) for c, f in zip(block.rows.columns, out)), made], schema=out)
+
+    lists = by_series(blocks.mapInArrow(asked, LISTED), ["bucket"]).groupBy("bucket")
+    bucket = F.pmod(F.crc32(F.col("word").cast("binary")), F.lit(buckets)).cast("int")
+    lexicon = by_series(lexicon.where("word is not null").withColumn("bucket", bucket), ["bucket"]).groupBy("bucket")
+    replies = lists.cogroup(lexicon).applyInArrow(answered, "block bigint, bucket int, n int, valence binary")
+    return per_block(blocks, materialise(replies, "replies", drop_shuffles=True), scored, schema)
+
+
+def lexicon_score(
+    docs: DataFrame, words: str, lexicon: DataFrame, score: str = "score", most: int | None = None, held: int = HELD_WORDS
+) -> DataFrame:
     """``docs`` with a score in (-1, 1): the sum of its words' valences over the root of its words, squashed.
 
-    The ``most`` words of strongest valence (ties by word) go to every task; their number bounds what is sent. Texts
-    without a known word score 0. Nothing is shuffled, and only words go to Python and scores come back. A column
-    named ``score`` gives way to the new one.
+    All words of the lexicon count; a caller who wants fewer asks for the ``most`` of strongest valence (ties by word).
+    Up to ``held`` words go to every task: nothing is shuffled, and only words go to Python and scores come back. More
+    are looked up in buckets, with the same scores. Texts without a known word score 0. A column named ``score`` gives
+    way to the new one.
     """
-    rows = lexicon.where("valence <> 0").orderBy(F.desc(F.abs("valence")), "word").limit(most).collect()
+    docs, lexicon = docs.drop(score), lexicon.where("valence <> 0").select("word", F.col("valence").cast("double").alias("valence"))
+    if most is not None:
+        lexicon = lexicon.orderBy(F.desc(F.abs("valence")), "word").limit(most)
+    rows = sorted(lexicon.limit(held + 1).collect(), key=lambda r: -abs(r["valence"]))
+    if len(rows) > held:
+        return joined_scores(docs, words, lexicon, score)
     table = docs.sparkSession.sparkContext.broadcast(([r["word"] for r in rows], np.array([r["valence"] for r in rows], dtype=np.float64)))
-    return docs.drop(score).withColumn(score, F.arrow_udf(scorer(table), "double")(F.col(words)))
+    return docs.withColumn(score, F.arrow_udf(scorer(table), "double")(F.col(words)))
 
 
 def agreement(scored: DataFrame, score: str, label: str, by: Sequence[str] = ()) -> DataFrame:

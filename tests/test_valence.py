@@ -1,7 +1,10 @@
 """The learned valence lexicon against plain loops, and its agreement with labels it has not seen."""
 
 import math
+import os
 import random
+import subprocess
+import sys
 import tracemalloc
 from collections import Counter
 from types import SimpleNamespace
@@ -9,6 +12,7 @@ from types import SimpleNamespace
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from stockspark.functions.text import content_words, sentiment_score
@@ -135,6 +139,64 @@ def test_scoring_takes_little_memory_beside_the_words():
     assert np.array_equal(scores, valence.scorer(table, most=777)(texts).to_numpy())
 
 
+def test_every_word_of_a_long_lexicon_counts(spark):
+    """The texts hold the weakest words of a lexicon longer than any that was scored before: none of them may be left out."""
+    n, draw = 20_500, random.Random(8)
+    values = {f"w{i}": (n - i) / n * (1 if i % 2 else -1) for i in range(n)}
+    lexicon = spark.createDataFrame([*values.items(), ("none", 0.0), ("null", None)], "word string, valence double").repartition(4)
+    rows = [(i, [draw.choice([f"w{draw.randrange(n - 400, n)}", "none", "null", "other"]) for _ in range(draw.randrange(1, 30))], None) for i in range(300)]
+    rows += [(300, list(values), 1), (301, None, 0), (302, [], 1), (303, [None, "w20499"], 0)]
+    df = spark.createDataFrame(rows, SCHEMA).withColumn("score", F.lit("mine")).repartition(3)
+    got = valence.lexicon_score(df, "words", lexicon)
+    assert got.columns == ["id", "words", "label", "score"]
+    total = {i: sum(values.get(w, 0.0) for w in words or []) / math.sqrt(max(1, len(words or []))) for i, words, _ in rows}
+    assert {r["id"]: r["score"] for r in got.collect()} == pytest.approx({i: t / math.sqrt(t * t + 15) for i, t in total.items()}, abs=1e-15)
+
+
+@pytest.mark.parametrize("most", [1, 3_000, 8 << 20])
+def test_joined_scores_are_those_of_a_held_lexicon(spark, most):
+    """Bit for bit, in blocks of one row and more, over equal rows, nulls, several types and a word with two valences."""
+    rows = [(*r, f"text {r[0]}") for r in some_docs()] * 2
+    rows += [(1, ["word3", None, "word4"], None, None), (2, [None], 1, ""), (3, ["x" * 5_000, "good1"], 0, "long"), (4, None, None, None)]
+    df = spark.createDataFrame(rows, f"{SCHEMA}, block string").repartition(5)
+    df = df.withColumns({
+        "day": F.lit("2024-02-29").cast("date"), "at": F.lit("2024-02-29 12:00:00").cast("timestamp"), "price": F.col("id").cast("decimal(12,2)"),
+        "pair": F.struct("id", "block"), "by": F.create_map(F.lit("k"), "label"), "raw": F.col("block").cast("binary"), "rows": F.array("id"),
+    })
+    known = [(f"{kind}{i}", (i + 1) / 7 * sign) for i in range(12) for kind, sign in (("good", 1), ("bad", -1), ("word", 0.1))]
+    lexicon = spark.createDataFrame([*known, ("word1", 2.5), (None, 0.7)], "word string, valence double")
+    held = valence.lexicon_score(df, "words", lexicon)
+    joined = valence.joined_scores(df, "words", lexicon, "score", most)
+    assert joined.schema.simpleString() == held.schema.simpleString()
+    assert sorted(map(repr, joined.collect())) == sorted(map(repr, held.collect()))
+    over = valence.lexicon_score(df, "words", lexicon, held=5)
+    assert sorted(map(repr, over.collect())) == sorted(map(repr, held.collect()))
+    assert valence.joined_scores(df.limit(0), "words", lexicon, "score").count() == 0
+    assert valence.joined_scores(df, "words", lexicon.where("word = 'unseen'"), "score").where("score <> 0").count() == 0
+
+
+def test_workers_score_without_the_package(tmp_path):
+    table = SimpleNamespace(value=(["up"], np.array([2.0])))
+    (tmp_path / "scorer").write_bytes(cloudpickle.dumps(valence.scorer(table)))
+    code = "import pickle, pyarrow as pa; print(pickle.load(open('scorer', 'rb'))(pa.array([['up']]))[0].as_py())"
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    got = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, check=True)
+    assert float(got.stdout) == pytest.approx(2 / math.sqrt(19))
+
+
+def test_rows_are_packed_within_a_size(spark):
+    """Blocks keep to their size, a larger row apart, also where texts have no words; each holds its words once."""
+    rows = [(i, ["a", "b", f"c{i}"] if i % 3 else None, None) for i in range(3_000)] + [(9_000, ["z"] * 4_000, None)]
+    packed = valence.packed_rows(spark.createDataFrame(rows, SCHEMA).coalesce(2), "words", 10_000).collect()
+    blocks = [valence.PackedRows(r["block"], pa.py_buffer(r["rows"]), 1, 3) for r in packed]
+    assert len({b.number for b in blocks}) == len(blocks) > 5
+    plain = [b.rows.cast(pa.schema([("id", pa.int32()), ("words", pa.list_(pa.string())), ("label", pa.int32())])) for b in blocks]
+    assert all(t.nbytes <= 10_000 or t.num_rows == 1 for t in plain)
+    assert sorted((r["id"], r["words"]) for t in plain for r in t.to_pylist()) == sorted((r[0], r[1]) for r in rows)
+    for b, t in zip(blocks, plain):
+        assert sorted(b.vocab.to_pylist()) == sorted({w for words in t["words"].to_pylist() for w in words or []})
+
+
 def test_agreement_counts_pairs(spark):
     draw = random.Random(1)
     rows = [(draw.choice("ab"), draw.randrange(-9, 9) / 10, draw.choice([0, 1, None])) for _ in range(300)]
